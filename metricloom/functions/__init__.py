@@ -11,7 +11,7 @@ from metricloom.functions.dates import (
     utc_day,
     with_snapshot_time,
 )
-from metricloom.functions.lookup import category_dimension, with_category
+from metricloom.functions.lookup import category_name, with_category
 from metricloom.functions.text import (
     NETWORKS,
     keyword_count,
@@ -22,7 +22,7 @@ from metricloom.functions.text import (
 
 __all__ = [
     "NETWORKS",
-    "category_dimension",
+    "category_name",
     "duration_seconds",
     "instant_from_utc",
     "keyword_count",

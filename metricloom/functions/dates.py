@@ -7,92 +7,78 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Month number -> English name, the label of a missing publish time, and the
+# English month names in order, the label of a missing publish time, and the
 # pattern of a duration text made of hours, minutes and seconds.
-MONTHS = {
-    "01": "January",
-    "02": "February",
-    "03": "March",
-    "04": "April",
-    "05": "May",
-    "06": "June",
-    "07": "July",
-    "08": "August",
-    "09": "September",
-    "10": "October",
-    "11": "November",
-    "12": "December",
-}
+MONTHS = (
+    "January",
+    "February",
+    "March",
+    "April",
+    "May",
+    "June",
+    "July",
+    "August",
+    "September",
+    "October",
+    "November",
+    "December",
+)
 MISSING = "n/a"
 DURATION_PATTERN = r"^PT(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?$"
 
 _MS_PER_DAY = 86_400_000
 _US_PER_DAY = 86_400_000_000
-# The Gregorian calendar repeats after 400 years, which are this many days.
-_CYCLE_DAYS = 146_097
-_CYCLE_YEARS = 400
+_SECONDS_PER_DAY = 86_400
+# Milliseconds of at most 16 digits, which reach some 300,000 years either way, and a
+# number of days that makes any of them positive.
+_MILLIS = r"^[+-]?0*[0-9]{1,16}$"
+_SHIFT_DAYS = 120_000_000
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _floor_div(value: Column, by: int) -> Column:
-    """Integer division rounding down, without the precision loss of a double."""
-    rest = F.pmod(value, F.lit(by))
-    quotient = F.call_function("div", value, F.lit(by))
-    return quotient - F.when((value < 0) & (rest != 0), 1).otherwise(0)
+def _day_of(value: Column, per_day: int) -> Column:
+    """Day number since 1970-01-01 of an epoch number. Shifted to be positive, the number
+    divides downwards in whole numbers."""
+    shifted = value + F.lit(_SHIFT_DAYS * per_day)
+    return (F.call_function("div", shifted, F.lit(per_day)) - _SHIFT_DAYS).cast("int")
 
 
-def _epoch_day(c: Column) -> Column:
-    """Day number since 1970-01-01 UTC of an epoch-millis text, NULL unless it is one."""
-    millis = F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast("bigint"))
-    return _floor_div(millis, _MS_PER_DAY)
+def _publish_date(text: Column) -> Column:
+    """UTC date of an epoch-millis text, NULL if it is missing or not one."""
+    millis = F.when(text.rlike(_MILLIS), text.try_cast("bigint"))
+    return F.date_from_unix_date(_day_of(millis, _MS_PER_DAY))
 
 
-def _civil(day: Column) -> tuple[Column, Column]:
-    """(year, month) of a day number. Folding into one calendar cycle keeps any bigint
-    of milliseconds in the range of a date."""
-    cycle = F.call_function("div", day, F.lit(_CYCLE_DAYS))
-    in_cycle = F.date_from_unix_date((day % F.lit(_CYCLE_DAYS)).cast("int"))
-    return F.year(in_cycle) + cycle * _CYCLE_YEARS, F.month(in_cycle)
-
-
-def _two_digits(month: Column) -> Column:
-    return F.lpad(month.cast("string"), 2, "0")
+# The labels below mention a part of the date more than once, always where it is computed
+# anyway: codegen then computes it once. Inside a CASE branch it would not.
 
 
 def publish_year(c: Column | str) -> Column:
     """UTC year, as text, of an epoch-millis text; a missing text gives ``n/a`` and an
-    unreadable one NULL. Years past 9999 carry a plus sign as ISO-8601 asks; a year before
-    0 has no text in front of its sign and gives the empty text."""
+    unreadable one NULL. As in ISO-8601 a year has at least four digits, and a sign outside
+    0..9999."""
     text = _col(c)
-    year, _ = _civil(_epoch_day(text))
-    label = (
-        F.when(year < 0, "")
-        .when(year > 9999, F.concat(F.lit("+"), year.cast("string")))
-        .otherwise(F.lpad(year.cast("string"), 4, "0"))
-    )
-    return F.when(text.isNull(), MISSING).otherwise(label)
+    year = F.year(_publish_date(text))
+    digits = F.abs(year).cast("string")
+    sign = F.when(year > 9999, "+").when(year < 0, "-").otherwise("")
+    label = F.concat(sign, F.lpad(digits, F.greatest(F.length(digits), F.lit(4)), "0"))
+    return F.coalesce(label, F.when(text.isNull(), MISSING))
 
 
 def publish_month_number(c: Column | str) -> Column:
-    """UTC month ``01``..``12`` of an epoch-millis text; missing gives ``n/a``, unreadable
-    or before year 0 gives NULL."""
+    """UTC month ``01``..``12`` of an epoch-millis text; missing gives ``n/a``, unreadable NULL."""
     text = _col(c)
-    year, month = _civil(_epoch_day(text))
-    return F.when(text.isNull(), MISSING).otherwise(F.when(year >= 0, _two_digits(month)))
-
-
-def month_name(number: Column | str) -> Column:
-    """English month name of ``01``..``12``; anything else gives NULL."""
-    pairs = [F.lit(x) for pair in MONTHS.items() for x in pair]
-    return F.element_at(F.create_map(*pairs), _col(number))
+    number = F.lpad(F.month(_publish_date(text)).cast("string"), 2, "0")
+    return F.coalesce(number, F.when(text.isNull(), MISSING))
 
 
 def publish_month(c: Column | str) -> Column:
     """English name of the UTC publish month; missing or unreadable gives NULL."""
-    return month_name(publish_month_number(c))
+    number = F.month(_publish_date(_col(c)))
+    return F.get(F.array(*map(F.lit, MONTHS)), number - 1)
 
 
 def duration_seconds(c: Column | str) -> Column:
@@ -105,22 +91,30 @@ def duration_seconds(c: Column | str) -> Column:
     text = _col(c)
 
     def part(group: int) -> Column:
-        digits = F.regexp_extract(text, DURATION_PATTERN, group)
-        return F.when(digits == "", F.lit(0).cast("bigint")).otherwise(digits.try_cast("int").cast("bigint"))
+        # The leading zero turns an absent part into 0 and leaves the others as they are.
+        digits = F.concat(F.lit("0"), F.regexp_extract(text, DURATION_PATTERN, group))
+        return digits.try_cast("int").cast("bigint")
 
     total = (part(1) * 3600 + part(2) * 60 + part(3)).try_cast("int")
     return F.when(~text.rlike("[HMS]"), 0).when(text.rlike(DURATION_PATTERN), total)
 
 
 def instant_from_utc(c: Column | str) -> Column:
-    """Instant of a zone-less timestamp read as UTC wall-clock time."""
-    micros = F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), _col(c))
-    return F.timestamp_micros(micros)
+    """Instant of a zone-less timestamp read as UTC wall-clock time.
+
+    Date and time of day are taken apart because a cast would go through the session zone
+    and shift the hours that zone skips in spring.
+    """
+    wall = _col(c)
+    second = F.extract(F.lit("SECOND"), wall)
+    in_day = (F.hour(wall) * 3600 + F.minute(wall) * 60).cast("bigint") * 1_000_000 + (second * 1_000_000).cast("bigint")
+    return F.timestamp_micros(F.unix_date(wall.cast("date")).cast("bigint") * _US_PER_DAY + in_day)
 
 
 def utc_day(c: Column | str) -> Column:
     """UTC calendar date of an instant."""
-    return F.date_from_unix_date(_floor_div(F.unix_micros(_col(c)), _US_PER_DAY).cast("int"))
+    seconds = F.unix_seconds(_col(c))
+    return F.date_from_unix_date(_day_of(seconds, _SECONDS_PER_DAY))
 
 
 def with_snapshot_time(df: DataFrame, at: datetime | str | None = None) -> DataFrame:

@@ -1,8 +1,8 @@
-"""Category names by id: a join with a fixed 32-row dimension."""
+"""Category names by id, from a fixed dimension of 32 rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Category id -> name.
@@ -48,22 +48,17 @@ SPACED_CATEGORIES = {
 }
 
 
-def category_dimension(spark: SparkSession, spaced: bool = False) -> DataFrame:
-    """The (category_id, category) dimension: 32 rows whatever the data size."""
+def category_name(c: Column | str, spaced: bool = False) -> Column:
+    """Name of a category id; an unknown or missing id gives NULL.
+
+    The dimension is fixed, so it is a map literal in the plan: no join or broadcast job,
+    nothing to compute when the name is not used, and the same on a stream.
+    """
     names = {**CATEGORIES, **SPACED_CATEGORIES} if spaced else CATEGORIES
-    rows = F.array(
-        *[
-            F.struct(F.lit(k).cast("int").alias("category_id"), F.lit(v).alias("category"))
-            for k, v in names.items()
-        ]
-    )
-    return spark.range(1).select(F.inline(rows))
+    pairs = [x for k, v in names.items() for x in (F.lit(k).cast("int"), F.lit(v))]
+    return F.element_at(F.create_map(*pairs), F.col(c) if isinstance(c, str) else c)
 
 
 def with_category(df: DataFrame, spaced: bool = False) -> DataFrame:
-    """``df`` plus ``category`` by ``category_id``; unknown and missing ids give NULL.
-
-    The broadcast side is the fixed dimension, so it never grows with the data.
-    """
-    dimension = category_dimension(df.sparkSession, spaced)
-    return df.join(F.broadcast(dimension), "category_id", "left")
+    """``df`` plus ``category`` by ``category_id``."""
+    return df.withColumn("category", category_name("category_id", spaced))

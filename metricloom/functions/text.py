@@ -1,8 +1,8 @@
 """Word and keyword counts over whole texts.
 
-All of them avoid regex splits and arrays of tokens: a word count only needs the number
+None of them splits the text into an array of words: a word count only needs the number
 of spaces, and a keyword count only needs the number of times the padded keyword occurs.
-The expressions are therefore plain byte scans inside whole-stage codegen.
+Both stay inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -43,12 +43,13 @@ def word_count(c: Column | str) -> Column:
     and no space counts 1, one with only spaces left counts 0. NULL in, NULL out.
 
     Removing punctuation never adds or removes a space, so the count is one more than the
-    spaces that precede the last character which is neither space nor punctuation.
+    spaces that precede the last character which is neither space nor punctuation. Written
+    without CASE branches, so that codegen trims the text only once.
     """
     text = _col(c)
     body = F.rtrim(text, F.lit(_SPACE + PUNCTUATION))
-    blank = F.when(F.contains(text, F.lit(_SPACE)), 0).otherwise(1)
-    return F.when(body == "", blank).otherwise(_occurrences(body, _SPACE) + 1).cast("int")
+    only_spaces_left = (body == "") & F.contains(text, F.lit(_SPACE))
+    return _occurrences(body, _SPACE) + 1 - only_spaces_left.cast("int")
 
 
 def _padded_words(c: Column | str) -> Column:
@@ -65,11 +66,29 @@ def keyword_count(c: Column | str, word: str) -> Column:
     return _occurrences(_padded_words(c), f" {word} ")
 
 
+def _candidates(text: Column, words: Sequence[str]) -> Column:
+    """The words of the text, in order and parted by spaces, that may equal one of ``words``.
+
+    One regex pass: a match starts at the text's start or a space, ends before a space or
+    the end, and spells one of the words in any case with punctuation anywhere.
+    """
+    punct = r"\p{Punct}*+"
+    spelled = "|".join(punct.join(word) for word in words)
+    initials = "".join(sorted({word[0] for word in words}))
+    pattern = rf"(?iu)(?:^| ){punct}(?=[{initials}])(?:{spelled}){punct}(?= |\z)"
+    return F.array_join(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), _SPACE)
+
+
 def keyword_counts(
     df: DataFrame, c: str, words: Sequence[str] = NETWORKS, suffix: str = "_count"
 ) -> DataFrame:
     """``df`` plus one ``<word>_count`` column per keyword.
 
-    The padded text is the same expression in each of them, so codegen computes it once.
+    The text is first narrowed to the words that may count, and each keyword is then
+    counted exactly in those few. Letters beyond ASCII can change their number when
+    lower-cased, so keywords with such letters are counted in the whole text.
     """
-    return df.select("*", *[keyword_count(c, w).alias(f"{w}{suffix}") for w in words])
+    text = F.col(c)
+    if words and all(word.isascii() and word.isalnum() for word in words):
+        text = _candidates(text, words)
+    return df.select("*", *[keyword_count(text, w).alias(f"{w}{suffix}") for w in words])

@@ -84,11 +84,10 @@ def rejects(df: DataFrame, message: Mapping[str, str] | T.StructType) -> DataFra
 
 
 def _iso(c: Column) -> Column:
-    """ISO-8601 UTC text of an instant, whatever the session zone."""
-    utc = F.timestamp_add(
-        "MICROSECOND", F.unix_micros(c), F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    )
-    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """ISO-8601 UTC text of an instant. The zone-less timestamp in between keeps the session
+    zone, and the hours it skips in spring, out of it."""
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(c), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
+    return F.concat(F.replace(utc.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def _as_item(members: list[tuple[list[str], Column]]) -> Column:

@@ -41,14 +41,18 @@ def _word_count(name: str, keys: tuple[str, ...], text: str) -> Query:
 
 def _keyword_count(name: str, keys: tuple[str, ...], text: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return table(spark, sf_dir, name).select(
-            *keys, *[keyword_count(text, w).alias(f"{w}_count") for w in FREQUENT_WORDS]
-        )
+        counted = keyword_counts(table(spark, sf_dir, name), text, FREQUENT_WORDS)
+        return counted.select(*keys, *[f"{w}_count" for w in FREQUENT_WORDS])
 
     counts = ", ".join(f"{keyword_count_sql(text, w)} AS {w}_count" for w in FREQUENT_WORDS)
     return Query(run, f"SELECT {', '.join(keys)}, {counts} FROM {name}")
 
 
+def keyword_count_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One keyword, counted in the whole text."""
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", keyword_count("text", "the").alias("the_count"))
+
+
 def strip_punct_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = strip_punct("text")
     return table(spark, sf_dir, "documents").select(
@@ -121,6 +125,10 @@ QUERIES: dict[str, Query] = {
     "word_count_pages": _word_count("pages", ("page_id",), "html"),
     "keyword_counts_documents": _keyword_count("documents", ("doc_id",), "text"),
     "keyword_counts_pages": _keyword_count("pages", ("page_id",), "html"),
+    "keyword_count_conversations": Query(
+        keyword_count_conversations,
+        f"SELECT conv_id, turn, {keyword_count_sql('text', 'the')} AS the_count FROM conversations",
+    ),
     "strip_punct_documents": Query(
         strip_punct_documents,
         """SELECT doc_id, md5(regexp_replace(text, '[[:punct:]]', '', 'g')) AS clean_md5,
