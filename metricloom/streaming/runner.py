@@ -7,7 +7,7 @@ snapshot does; with ``every`` it goes on, one batch per interval.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,11 +38,11 @@ def stream_to_topic(
     return _start(writer.outputMode("append").option("checkpointLocation", checkpoint), every)
 
 
-def batch_writer(store: TableStore, name: str) -> Callable[[DataFrame, int], None]:
+def batch_writer(store: TableStore, name: str, partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """Append a micro-batch to a table, marked with the query and batch it came from.
 
-    In a folder each batch is a partition that is written whole, so a batch repeated after
-    a failure replaces itself. A database gets the rows again, and the two columns tell a
+    In a folder each batch is a partition (below those of ``partition_by``) that is written
+    whole, so a batch repeated after a failure replaces itself. A database gets the rows again, and the two columns tell a
     repeated batch from a new one. The query id is kept in the checkpoint: it survives
     restarts, and a new checkpoint never meets the batches of an older one.
     """
@@ -56,7 +56,7 @@ def batch_writer(store: TableStore, name: str) -> Callable[[DataFrame, int], Non
             (
                 marked.write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("query_id", "batch_id")
+                .partitionBy(*partition_by, "query_id", "batch_id")
                 .parquet(store.path(name))
             )
 
@@ -64,10 +64,15 @@ def batch_writer(store: TableStore, name: str) -> Callable[[DataFrame, int], Non
 
 
 def stream_to_table(
-    sdf: DataFrame, store: TableStore, name: str, checkpoint: str, every: str | None = None
+    sdf: DataFrame,
+    store: TableStore,
+    name: str,
+    checkpoint: str,
+    every: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append each micro-batch to a table."""
-    writer = sdf.writeStream.foreachBatch(batch_writer(store, name)).outputMode("append")
+    writer = sdf.writeStream.foreachBatch(batch_writer(store, name, partition_by)).outputMode("append")
     return _start(writer.option("checkpointLocation", checkpoint), every)
 
 

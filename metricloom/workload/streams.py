@@ -14,7 +14,8 @@ from metricloom.operators.envelope import nested_item
 from metricloom.plans.consume import MESSAGE_KEYS, run_consume
 from metricloom.plans.dated import run_dated
 from metricloom.plans.enrich import ENRICH
-from metricloom.plans.snapshot import run_snapshot
+from metricloom.plans.reports import report
+from metricloom.plans.snapshot import run_snapshot, run_snapshot_table
 from metricloom.schemas import (
     CONSUMER_MESSAGES,
     CONSUMER_RENAMES,
@@ -34,6 +35,7 @@ from metricloom.workload.bindings import (
     LENGTHS_SQL,
     PERIOD_SQL,
     as_epoch_text,
+    channels,
     category_sql,
     columns_sql,
     duration_sql,
@@ -103,6 +105,17 @@ def _snapshot(entity: str) -> Query:
     return Query(run, sql)
 
 
+def snapshot_table_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots of two days, from two runs, and the daily report over the table they fill."""
+    source, store = _topic(spark, "in-channels"), TableStore(scratch_path(spark, "store"))
+    df = channels(spark, sf_dir)
+    publish(df.select(nested_item(df, "channels").alias("item")).select("item.*"), source)
+    for at in ("2024-01-02T03:04:05Z", "2024-01-03T23:59:59Z"):
+        run_snapshot_table(spark, "channels", source, store, scratch_path(spark, "checkpoint"), name="channels", at=at)
+    changed = report("a26", read_table(spark, store, "channels"))
+    return changed.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+
+
 def _dated(entity: str) -> Query:
     message, renames = DATED_MESSAGES[entity], DATED_RENAMES.get(entity, {})
     columns = list(message)
@@ -135,4 +148,11 @@ QUERIES: dict[str, Query] = {
     **{f"stream_consume_{entity}": _consume(entity) for entity in ENTITIES},
     **{f"stream_snapshot_{entity}": _snapshot(entity) for entity in ENTITIES},
     **{f"stream_dated_{entity}": _dated(entity) for entity in ENTITIES},
+    "stream_snapshot_table_channels": Query(
+        snapshot_table_channels,
+        f"""WITH sums AS (SELECT country, CAST(sum(view_count) AS BIGINT) AS view_count_sum
+                          FROM ({BOUND_SQL["channels"]}) AS bound GROUP BY country)
+            SELECT country, '2024-01-02' AS snapshot_date, view_count_sum, CAST(NULL AS DOUBLE) AS percent_change FROM sums
+            UNION ALL SELECT country, '2024-01-03', view_count_sum, CASE WHEN view_count_sum <> 0 THEN 0.0 END FROM sums""",
+    ),
 }
