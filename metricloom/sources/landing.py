@@ -43,9 +43,11 @@ def read_envelopes(spark: SparkSession, path: str, entity: str) -> DataFrame:
 
 
 def broken_documents(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """File and text of documents that could not be read in full."""
+    """File and text of documents that could not be read in full, with the number of items
+    that were read all the same."""
     documents = read_documents(spark, path, entity).select("*", F.input_file_name().alias("file"))
-    return documents.where(F.col(CORRUPT).isNotNull()).select("file", F.col(CORRUPT).alias("document"))
+    broken = documents.select("file", F.size("items").alias("item_count"), F.col(CORRUPT).alias("document"))
+    return broken.where(F.col("document").isNotNull())
 
 
 def fanout_keys(df: DataFrame, key: str, parent: str | None = None) -> DataFrame:

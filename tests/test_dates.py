@@ -28,7 +28,7 @@ PERIODS = [
     ("253402300799999", "9999", "12", "December"),
     ("253402300800000", "+10000", "01", "January"),
     ("-62135596800001", "0000", "12", "December"),
-    # The start and end of the hour that Los Angeles skips.
+    # The moment Los Angeles skips an hour.
     ("1710064800000", "2024", "03", "March"),
 ]
 
