@@ -69,14 +69,16 @@ def keyword_count(c: Column | str, word: str) -> Column:
 def _candidates(text: Column, words: Sequence[str]) -> Column:
     """The words of the text, in order and parted by spaces, that may equal one of ``words``.
 
-    One regex pass: a match starts at the text's start or a space, ends before a space or
-    the end, and spells one of the words in any case with punctuation anywhere.
+    One regex pass: with a space put in front of the text, a match starts at a space, ends
+    before a space or the end, and spells one of the words in any case with punctuation
+    anywhere.
     """
     punct = r"\p{Punct}*+"
     spelled = "|".join(punct.join(word) for word in words)
     initials = "".join(sorted({word[0] for word in words}))
-    pattern = rf"(?iu)(?:^| ){punct}(?=[{initials}])(?:{spelled}){punct}(?= |\z)"
-    return F.array_join(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), _SPACE)
+    pattern = rf"(?iu) {punct}(?=[{initials}])(?:{spelled}){punct}(?= |\z)"
+    found = F.regexp_extract_all(F.concat(F.lit(_SPACE), text), F.lit(pattern), F.lit(0))
+    return F.array_join(found, _SPACE)
 
 
 def keyword_counts(

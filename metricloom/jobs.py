@@ -25,7 +25,7 @@ from metricloom.plans.enrich import ENRICH, run_enrich
 from metricloom.plans.reports import REPORTS, report
 from metricloom.plans.snapshot import preview_snapshot, run_snapshot
 from metricloom.schemas import ENTITIES
-from metricloom.session import cluster_session
+from metricloom.session import job_session
 from metricloom.sources.tables import TableStore, read_table, write_table
 from metricloom.sources.topics import Topic
 
@@ -114,7 +114,7 @@ def run_streaming(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = arguments(argv)
-    spark = spark or cluster_session(f"metricloom {args.job}")
+    spark = spark or job_session(f"metricloom {args.job}")
     if args.job == "cleanse":
         counts = run_cleanse(spark, args.entity, args.landing, store(args), args.table or args.entity, args.mode)
         print(counts)

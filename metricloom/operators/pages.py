@@ -20,17 +20,18 @@ def spread_hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK)
     as files they carry their true size: the join broadcasts them only below Spark's
     threshold and is a sort-merge join with run-time skew splitting beyond it.
 
-    The part depends on the row's content and its input partition: a repeated task gives
-    the same parts, and copies of one row from different input partitions do not all meet.
+    The part depends on the row's content and its input partition, both taken before the
+    join: a repeated task gives the same parts, and copies of one row from different input
+    partitions do not all meet.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
     hot = counts.where(F.col("key_rows") > rows_per_task).select(
         F.col(key).alias("hot_key"), F.ceil(F.col("key_rows") / rows_per_task).alias("key_parts")
     )
     hot = materialize(hot, "hot-keys")
-    spread = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.col("key_parts"))
-    part = F.when(F.col("key_parts").isNull(), F.lit(0).cast("bigint")).otherwise(spread)
-    joined = df.join(hot, F.col(key).eqNullSafe(F.col("hot_key")), "left")
+    seeded = df.select("*", F.xxhash64(*df.columns, F.spark_partition_id()).alias("seed"))
+    joined = seeded.join(hot, F.col(key).eqNullSafe(F.col("hot_key")), "left")
+    part = F.coalesce(F.pmod(F.col("seed"), F.col("key_parts")), F.lit(0).cast("bigint"))
     return joined.select(*df.columns, part.alias("part"))
 
 

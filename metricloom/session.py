@@ -4,47 +4,55 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# Settings the jobs rely on. Shuffle partitions start high and are merged at run time to
-# the advisory size, so one value serves small and very large inputs.
-CLUSTER_CONF = {
+# Settings of the jobs where the submit names none. Shuffles start with many partitions and
+# are merged at run time to the advisory size, so one value serves small and large inputs;
+# the only shuffle of whole rows is that of landing, and a landing of more than some 5 TB
+# should start with more. The low open cost packs many small landed documents into a task.
+JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.speculation": "false",
+    "spark.sql.files.openCostInBytes": "512k",
 }
 
 
-def cluster_session(app: str) -> SparkSession:
-    """Session for spark-submit jobs; master, memory and folders come from the submit."""
-    builder = SparkSession.builder.appName(app)
-    for key, value in CLUSTER_CONF.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
+def job_session(app: str) -> SparkSession:
+    """Session for spark-submit jobs; whatever the submit sets goes before ``JOB_CONF``."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in JOB_CONF.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
+
+
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"metricloom-{application}-")
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for written intermediate data.
 
-    Executors on other machines must reach it, so a machine-local folder is made only for
-    a local master that names none.
+    Executors on other machines must reach it, so a folder of our own is made only for a
+    local master that names none.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="metricloom-")
-    spark.conf.set(CHECKPOINT_DIR, own)
-    return own
+    return _own_folder(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -30,11 +30,12 @@ class TableStore:
         return f"{self.location.rstrip('/')}/{name}"
 
 
-READ_ONLY = ("partitionColumn", "lowerBound", "upperBound", "numPartitions", "fetchsize")
+READ_ONLY = ("partitionColumn", "lowerBound", "upperBound", "fetchsize")
 
 
 def jdbc_options(store: TableStore, name: str, writing: bool = False) -> dict[str, str]:
-    """JDBC options of one table. A parallel read needs its four options together."""
+    """JDBC options of one table. A parallel read needs its four options together; on writing
+    ``numPartitions`` limits the number of connections."""
     split = [o for o in READ_ONLY[:3] if o in store.options]
     if split and (len(split) < 3 or "numPartitions" not in store.options):
         raise ValueError("a parallel read needs partitionColumn, lowerBound, upperBound and numPartitions")
@@ -63,7 +64,11 @@ def write_snapshot(df: DataFrame, store: TableStore, name: str, day: date | str
     of the days in the column of that name. Writing a day again replaces only that day."""
     if store.is_jdbc:
         raise ValueError("snapshots are written to a partitioned folder")
-    dated = df if day is None else df.withColumn("snapshot_date", F.lit(str(day)).cast("date"))
+    if day is None:
+        # Brings each day's rows together in files of a good size; a large day is split.
+        dated = df.hint("rebalance", "snapshot_date")
+    else:
+        dated = df.withColumn("snapshot_date", F.lit(str(day)).cast("date"))
     (
         dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -47,7 +49,7 @@ def test_jdbc_options():
     assert read["url"] == URL and read["dbtable"] == "public.videos" and read["fetchsize"] == "10000"
     assert split.items() <= read.items()
     written = jdbc_options(store, "public.videos", writing=True)
-    assert not split.keys() & written.keys() and written["user"] == "u" and written["batchsize"] == "10000"
+    assert [o for o in split if o in written] == ["numPartitions"] and written["user"] == "u" and written["batchsize"] == "10000"
 
 
 @pytest.mark.parametrize("left_out", ["lowerBound", "upperBound", "numPartitions"])
@@ -87,15 +89,10 @@ def test_scratch_lies_in_the_named_folder(spark):
     assert first.startswith(spark.conf.get(session.CHECKPOINT_DIR))
 
 
-class _Conf(dict):
-    def set(self, key, value):
-        self[key] = value
-
-
 class _Session:
     def __init__(self, master, **conf):
-        self.conf = _Conf(conf)
-        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = conf
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
 
 
 def test_a_cluster_must_name_a_shared_folder():
@@ -103,8 +100,8 @@ def test_a_cluster_must_name_a_shared_folder():
         session.shared_folder(_Session("spark://host:7077"))
     named = _Session("yarn", **{session.CHECKPOINT_DIR: "hdfs:///shared/"})
     assert session.shared_folder(named) == "hdfs:///shared"
-    local = _Session("local[2]")
-    assert session.shared_folder(local) == local.conf[session.CHECKPOINT_DIR]
+    local = session.shared_folder(_Session("local[2]"))
+    assert os.path.isdir(local) and session.shared_folder(_Session("local[2]")) == local
 
 
 def test_materialize_keeps_rows_and_ends_lineage(spark):
@@ -112,3 +109,21 @@ def test_materialize_keeps_rows_and_ends_lineage(spark):
     written = session.materialize(rows, "groups")
     assert sorted(map(tuple, written.collect())) == sorted(map(tuple, rows.collect()))
     assert "Aggregate" not in written._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_days_are_written_in_few_files(spark, tmp_path):
+    store = TableStore(str(tmp_path))
+    rows = spark.range(0, 3000, 1, 16).selectExpr("id", "date_add(date'2024-01-01', CAST(id % 3 AS INT)) AS snapshot_date")
+    write_snapshot(rows, store, "s")
+    assert len(read_table(spark, store, "s").inputFiles()) <= 6
+    assert read_table(spark, store, "s").count() == 3000
+
+
+def test_job_settings_give_way_to_the_submit(spark):
+    try:
+        assert session.job_session("job") is not None
+        assert spark.conf.get("spark.sql.files.openCostInBytes") == "512k"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    finally:
+        for key in session.JOB_CONF:
+            spark.conf.unset(key)
