@@ -72,15 +72,20 @@ def to_json_value(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), value)
 
 
-def rejects(df: DataFrame, message: Mapping[str, str] | T.StructType) -> DataFrame:
-    """Values that cannot be read as the declared message in full: broken JSON, a value of
-    the wrong type, or no text at all."""
+def with_reject_mark(df: DataFrame, message: Mapping[str, str] | T.StructType) -> DataFrame:
+    """``df`` plus the ``parsed`` message and whether it is ``rejected``: broken JSON, a
+    value of the wrong type, or no text at all."""
     schema = message if isinstance(message, T.StructType) else struct_of(message)
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("value", with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
     read = df.select("*", parsed.alias("parsed"))
-    bad = F.col("parsed").isNull() | F.col(f"parsed.{CORRUPT}").isNotNull()
-    return read.where(bad).drop("parsed")
+    rejected = F.col("parsed").isNull() | F.col(f"parsed.{CORRUPT}").isNotNull()
+    return read.withColumn("rejected", rejected)
+
+
+def rejects(df: DataFrame, message: Mapping[str, str] | T.StructType) -> DataFrame:
+    """The rows whose ``value`` cannot be read as the declared message in full."""
+    return with_reject_mark(df, message).where("rejected").drop("parsed", "rejected")
 
 
 def _iso(c: Column) -> Column:

@@ -9,6 +9,9 @@ from metricloom.session import materialize
 
 # Rows of one key that one task sorts; a key with more is spread over several tasks.
 ROWS_PER_TASK = 1_000_000
+# JSON bytes after which a page ends: small enough to parse as one document, large enough
+# that 100 TB are some millions of files.
+PAGE_BYTES = 16 * 1024 * 1024
 
 
 def spread_hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -40,20 +43,25 @@ def to_envelopes(
     key: str,
     item: Column,
     order_by: str,
-    page_size: int = 500,
+    page_bytes: int = PAGE_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """One document per key and page, with at most ``page_size`` items in each.
+    """One document per key and page; a page is full once its items reach ``page_bytes`` of
+    JSON.
 
-    One shuffle on (key, part): numbering the rows and collecting a page both keep that
-    partitioning.
+    One shuffle on (key, part): adding up the sizes and collecting a page both keep that
+    partitioning, and no more than a page is ever held together.
     """
     items = df.select(
-        F.col(key).alias("page_key"), F.col(order_by).alias("item_order"), item.alias("item")
+        F.col(key).alias("page_key"),
+        F.col(order_by).alias("item_order"),
+        F.octet_length(F.to_json(item)).cast("bigint").alias("item_bytes"),
+        item.alias("item"),
     )
     spread = spread_hot_keys(items, "page_key", rows_per_task)
-    numbering = Window.partitionBy("page_key", "part").orderBy("item_order")
-    page = F.call_function("div", F.row_number().over(numbering) - 1, F.lit(page_size))
+    before = Window.partitionBy("page_key", "part").orderBy("item_order").rowsBetween(Window.unboundedPreceding, 0)
+    start = F.sum("item_bytes").over(before) - F.col("item_bytes")
+    page = F.call_function("div", start, F.lit(page_bytes))
     return (
         spread.select("page_key", "part", page.alias("page"), "item")
         .groupBy("page_key", "part", "page")
@@ -64,4 +72,3 @@ def to_envelopes(
             "items",
         )
     )
-

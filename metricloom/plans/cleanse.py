@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from metricloom.functions.lookup import with_category
 from metricloom.operators.envelope import flatten_envelope
 from metricloom.operators.quality import quality_columns
-from metricloom.schemas import KEYS, TABLE_COLUMNS
-from metricloom.sources.landing import read_envelopes
+from metricloom.schemas import CORRUPT, KEYS, TABLE_COLUMNS
+from metricloom.sources.landing import read_documents
 from metricloom.sources.tables import TableStore, write_table
 
 # Where the documents of each entity lie under the landing folder.
@@ -33,12 +34,19 @@ def run_cleanse(
 ) -> dict[str, int]:
     """Cleanse what lies at ``landing`` (a folder or glob) into a table.
 
-    The quality counts are observed while the table is written; the files are read once.
+    Returns the quality counts: documents, broken documents (their readable items are kept),
+    rows, and rows without a key. They are observed while the table is written; the files
+    are read once.
     """
-    table = cleanse(read_envelopes(spark, landing, entity), entity)
-    seen = Observation(f"cleanse-{entity}")
-    write_table(table.observe(seen, *quality_columns(KEYS[entity])), store, name, mode)
-    return seen.get
+    documents, rows = Observation(f"{entity}-documents"), Observation(f"{entity}-rows")
+    read = read_documents(spark, landing, entity).observe(
+        documents,
+        F.count(F.lit(1)).alias("document_count"),
+        F.count(CORRUPT).alias("broken_document_count"),
+    )
+    table = cleanse(read, entity).observe(rows, *quality_columns(KEYS[entity]))
+    write_table(table, store, name, mode)
+    return {**documents.get, **rows.get}
 
 
 def run_cleanse_channels(spark: SparkSession, landing: str, store: TableStore, **options: str) -> dict[str, int]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricloom.operators.pages import ROWS_PER_TASK, to_envelopes
+from metricloom.operators.pages import PAGE_BYTES, ROWS_PER_TASK, to_envelopes
 from metricloom.schemas import CORRUPT, envelope_schema
 
 
@@ -15,14 +15,15 @@ def land_by_key(
     key: str,
     item: Column,
     order_by: str,
-    page_size: int = 500,
+    page_bytes: int = PAGE_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> None:
     """Write the items of each key under ``path/<key>=<value>/``, a page per file.
 
-    Readers take a whole file as one document, hence one record per file.
+    Readers take a whole file as one document, hence one record per file. A key with more
+    than ``page_bytes`` of items gets several files.
     """
-    documents = to_envelopes(df, key, item, order_by, page_size, rows_per_task)
+    documents = to_envelopes(df, key, item, order_by, page_bytes, rows_per_task)
     documents.write.partitionBy(key).option("maxRecordsPerFile", 1).json(path)
 
 

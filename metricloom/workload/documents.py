@@ -16,6 +16,7 @@ from metricloom.operators.envelope import (
     to_json_value,
 )
 from metricloom.operators.pages import to_envelopes
+from metricloom.operators.quality import message_counts
 from metricloom.plans.cleanse import run_cleanse
 from metricloom.schemas import ITEM_FIELDS, KEYS
 from metricloom.session import scratch_path
@@ -87,6 +88,10 @@ def rejects_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects(_event_messages(spark, sf_dir), EVENT_MESSAGE).select("event_id")
 
 
+def message_counts_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return message_counts(_event_messages(spark, sf_dir), EVENT_MESSAGE, "event_id")
+
+
 def json_roundtrip_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", instant_from_utc("o_orderdate"))
     messages = to_json_value(orders, key="o_custkey")
@@ -151,6 +156,11 @@ QUERIES: dict[str, Query] = {
            FROM events""",
     ),
     "rejects_events": Query(rejects_events, "SELECT event_id FROM events WHERE event_id % 10 < 4"),
+    "quality_counts_messages": Query(
+        message_counts_events,
+        """SELECT count(*) AS row_count, count(*) FILTER (WHERE event_id % 10 IN (0, 2, 3)) AS null_key_count,
+                  count(*) FILTER (WHERE event_id % 10 < 4) AS reject_count FROM events""",
+    ),
     "json_roundtrip_orders": Query(
         json_roundtrip_orders,
         """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,

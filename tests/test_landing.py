@@ -35,12 +35,14 @@ def ids(df):
 
 def test_round_trip_with_hot_keys_and_copies(spark, playlists):
     path = scratch_path(spark, "landing")
-    land(playlists, path, page_size=7, rows_per_task=60)
+    land(playlists, path, page_bytes=900, rows_per_task=60)
     back = flatten_envelope(read_envelopes(spark, path, "playlists"), "playlists")
     assert ids(back) == ids(playlists)
     files = glob.glob(f"{path}/*/*.json")
     documents = [json.loads(open(f).read()) for f in files]  # exactly one document in each file
-    assert all(1 <= len(d["items"]) <= 7 and d["pageInfo"]["resultsPerPage"] == len(d["items"]) for d in documents)
+    assert all(d["pageInfo"]["resultsPerPage"] == len(d["items"]) >= 1 for d in documents)
+    sizes = [sum(len(json.dumps(i, separators=(",", ":"))) for i in d["items"]) for d in documents]
+    assert max(sizes) < 900 + 200 and sum(len(d["items"]) > 1 for d in documents) > 100
     for f, d in zip(files, documents):
         assert len({i["snippet"].get("channelId") for i in d["items"]}) == 1, f
 
@@ -48,7 +50,7 @@ def test_round_trip_with_hot_keys_and_copies(spark, playlists):
 def test_lines_in_one_file_would_be_lost(spark, playlists):
     """Why one document per file matters: a reader of whole documents stops after the first."""
     path = scratch_path(spark, "lines")
-    to_envelopes(playlists, "channel_id", nested_item(playlists, "playlists"), "playlist_id", 7).coalesce(1).write.json(path)
+    to_envelopes(playlists, "channel_id", nested_item(playlists, "playlists"), "playlist_id", 900).coalesce(1).write.json(path)
     assert sum(ids(flatten_envelope(read_envelopes(spark, path, "playlists"), "playlists")).values()) < 1000
 
 
@@ -110,7 +112,7 @@ def test_cleanse_the_landing_tree(spark, tmp_path):
         (folder / "content").write_text('{"items": []}')
     store = TableStore(str(tmp_path / "tables"))
     counts = run_cleanse_videos(spark, f"{tmp_path}/landing/{LANDING_GLOBS['videos']}", store)
-    assert counts == {"row_count": 3, "null_key_count": 1}
+    assert counts == {"document_count": 3, "broken_document_count": 0, "row_count": 3, "null_key_count": 1}
     rows = {r.video_id: r.asDict() for r in read_table(spark, store, "videos").drop("published_at").collect()}
     assert rows["v1"] == {
         "video_id": "v1",
@@ -129,6 +131,13 @@ def test_cleanse_the_landing_tree(spark, tmp_path):
     assert rows["v2"]["category_id"] == 3 and rows["v2"]["category"] is None
 
 
+def test_cleanse_counts_broken_documents(spark, tmp_path):
+    (tmp_path / "good.json").write_text('{"items": [{"id": "v1"}, {"id": "v2"}]}')
+    (tmp_path / "bad.json").write_text('{"items": [{"id": "v3"')
+    counts = run_cleanse_videos(spark, str(tmp_path), TableStore(str(tmp_path / "tables")))
+    assert (counts["document_count"], counts["broken_document_count"], counts["row_count"]) == (2, 1, 2)
+
+
 def test_fanout_keys(spark):
     rows = spark.createDataFrame([("c1", "v1"), ("c1", "v1"), ("c1", None), ("c2", "v1"), (None, "v2")], "c string, v string")
     assert sorted(r.v for r in fanout_keys(rows, "v").collect()) == ["v1", "v2"]
