@@ -24,9 +24,13 @@ class Topic:
     servers: str | None = None
     options: dict[str, str] = field(default_factory=dict)
 
+    @property
+    def is_folder(self) -> bool:
+        return self.servers is None
+
     def reader(self) -> tuple[str, dict[str, str]]:
         if self.servers is None:
-            return "parquet", {**self.options}
+            return "parquet", {**self.options, "recursiveFileLookup": "true"}
         defaults = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
         fixed = {"kafka.bootstrap.servers": self.servers, "subscribe": self.name}
         return "kafka", {**defaults, **self.options, **fixed}
@@ -40,9 +44,14 @@ class Topic:
 def read_stream(spark: SparkSession, topic: Topic) -> DataFrame:
     kind, options = topic.reader()
     reader = spark.readStream.format(kind).options(**options)
-    if kind == "parquet":
-        return reader.schema(MESSAGE).load(topic.name)
-    return reader.load()
+    return reader.schema(MESSAGE).load(topic.name) if topic.is_folder else reader.load()
+
+
+def read_topic(spark: SparkSession, topic: Topic) -> DataFrame:
+    """All messages of a topic as they are now."""
+    kind, options = topic.reader()
+    reader = spark.read.format(kind).options(**options)
+    return reader.schema(MESSAGE).load(topic.name) if topic.is_folder else reader.load()
 
 
 def topic_rows(df: DataFrame, key: str | None = None) -> DataFrame:

@@ -29,40 +29,51 @@ def _start(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
     return query
 
 
-def stream_to_topic(
-    sdf: DataFrame, topic: Topic, checkpoint: str, key: str | None = None, every: str | None = None
-) -> StreamingQuery:
-    """Send each row as a JSON message, keyed by the text of ``key`` if one is named."""
-    kind, options = topic.writer()
-    writer = topic_rows(sdf, key).writeStream.format(kind).options(**options)
-    return _start(writer.outputMode("append").option("checkpointLocation", checkpoint), every)
+def _marked(batch: DataFrame, batch_id: int) -> DataFrame:
+    """The batch with the query and batch it came from. The query id is kept in the
+    checkpoint: it survives restarts, and a new checkpoint has another one."""
+    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return batch.select("*", F.lit(query_id).alias("query_id"), F.lit(batch_id).cast("bigint").alias("batch_id"))
 
 
-def batch_writer(store: TableStore, name: str, partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
-    """Append a micro-batch to a table, marked with the query and batch it came from.
+def folder_writer(path: str, partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """Add each batch to a folder as a partition of its own (below those of
+    ``partition_by``). It is written whole, so a batch repeated after a failure replaces
+    itself, and batches of other queries or checkpoints are never touched."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (
+            _marked(batch, batch_id)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by, "query_id", "batch_id")
+            .parquet(path)
+        )
+
+    return write
 
-    In a folder each batch is a partition (below those of ``partition_by``) that is written
-    whole, so a batch repeated after a failure replaces itself. A database gets the rows again, and the two columns tell a
-    repeated batch from a new one. The query id is kept in the checkpoint: it survives
-    restarts, and a new checkpoint never meets the batches of an older one.
-    """
+
+def database_writer(store: TableStore, name: str) -> Callable[[DataFrame, int], None]:
+    """Append each batch to a database table. A batch repeated after a failure is added
+    again; its query and batch ids tell."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        marked = batch.select("*", F.lit(query_id).alias("query_id"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-        if store.is_jdbc:
-            write_table(marked, store, name, mode="append")
-        else:
-            (
-                marked.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*partition_by, "query_id", "batch_id")
-                .parquet(store.path(name))
-            )
+        write_table(_marked(batch, batch_id), store, name, mode="append")
 
     return write
 
 
+def stream_to_topic(
+    sdf: DataFrame, topic: Topic, checkpoint: str, key: str | None = None, every: str | None = None
+) -> StreamingQuery:
+    """Send each row as a JSON message, keyed by the text of ``key`` if one is named."""
+    writer = topic_rows(sdf, key).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if topic.is_folder:
+        return _start(writer.foreachBatch(folder_writer(topic.name)), every)
+    kind, options = topic.writer()
+    return _start(writer.format(kind).options(**options), every)
+
+
 def stream_to_table(
     sdf: DataFrame,
     store: TableStore,
@@ -71,8 +82,9 @@ def stream_to_table(
     every: str | None = None,
     partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Append each micro-batch to a table."""
-    writer = sdf.writeStream.foreachBatch(batch_writer(store, name, partition_by)).outputMode("append")
+    """Append each micro-batch to a table, marked with ``query_id`` and ``batch_id``."""
+    write = database_writer(store, name) if store.is_jdbc else folder_writer(store.path(name), partition_by)
+    writer = sdf.writeStream.foreachBatch(write).outputMode("append")
     return _start(writer.option("checkpointLocation", checkpoint), every)
 
 

@@ -28,7 +28,7 @@ from metricloom.schemas import (
 )
 from metricloom.session import scratch_path
 from metricloom.sources.tables import TableStore, read_table
-from metricloom.sources.topics import MESSAGE, Topic, publish
+from metricloom.sources.topics import Topic, publish, read_topic
 from metricloom.workload.bindings import (
     BOUND,
     BOUND_SQL,
@@ -58,8 +58,7 @@ def _topic(spark: SparkSession, label: str) -> Topic:
 
 
 def _read_topic(spark: SparkSession, topic: Topic, columns: dict[str, str]) -> DataFrame:
-    messages = spark.read.schema(MESSAGE).parquet(topic.name)
-    parsed = messages.select("key", F.from_json(F.col("value").cast("string"), struct_of(columns)).alias("m"))
+    parsed = read_topic(spark, topic).select("key", F.from_json(F.col("value").cast("string"), struct_of(columns)).alias("m"))
     return parsed.select("key", "m.*")
 
 

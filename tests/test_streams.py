@@ -15,8 +15,8 @@ from metricloom.plans.snapshot import (
 from metricloom.schemas import ENTITIES
 from metricloom.session import scratch_path
 from metricloom.sources.tables import TableStore, read_table
-from metricloom.sources.topics import MESSAGE, Topic, publish, topic_rows
-from metricloom.streaming.runner import batch_writer
+from metricloom.sources.topics import MESSAGE, Topic, publish, read_topic, topic_rows
+from metricloom.streaming.runner import folder_writer
 
 AT = "2024-01-02T03:04:05Z"
 FLAT = {
@@ -45,7 +45,7 @@ def send(spark, topic, texts):
 
 
 def messages(spark, topic):
-    return spark.read.schema(MESSAGE).parquet(topic.name)
+    return read_topic(spark, topic)
 
 
 def topic(spark, label, **options):
@@ -159,9 +159,19 @@ def test_a_new_checkpoint_adds_to_the_table(spark):
     assert read_table(spark, store, "t").count() == 2
 
 
+def test_two_streams_and_a_batch_share_a_topic(spark):
+    source, sink = topic(spark, "in"), topic(spark, "out")
+    send(spark, source, [json.dumps(FLAT["channels"])])
+    for _ in range(2):
+        run_consume_channels(spark, source, sink, checkpoint=scratch_path(spark, "ck"))
+    publish(spark.range(1), sink)
+    assert messages(spark, sink).count() == 3
+    assert messages(spark, sink).columns == ["key", "value"]
+
+
 def test_a_repeated_batch_replaces_itself(spark):
     store = TableStore(scratch_path(spark, "s"))
-    write = batch_writer(store, "t")
+    write = folder_writer(store.path("t"))
     spark.sparkContext.setLocalProperty("sql.streaming.queryId", "q")
     try:
         for batch_id, rows in ((0, 3), (1, 4), (1, 4), (0, 3)):
