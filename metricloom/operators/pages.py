@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from metricloom.session import materialize
 
 # Rows of one key that one task sorts; a key with more is spread over several tasks.
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 250_000
 # JSON bytes after which a page ends: small enough to parse as one document, large enough
 # that 100 TB are some millions of files.
 PAGE_BYTES = 16 * 1024 * 1024
