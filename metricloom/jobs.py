@@ -23,18 +23,16 @@ from metricloom.plans.consume import preview_consume, run_consume
 from metricloom.plans.dated import preview_dated, run_dated
 from metricloom.plans.enrich import ENRICH, run_enrich
 from metricloom.plans.reports import REPORTS, report
-from metricloom.plans.snapshot import preview_snapshot, run_snapshot
+from metricloom.plans.snapshot import preview_snapshot, run_snapshot, run_snapshot_table
 from metricloom.schemas import ENTITIES
 from metricloom.session import job_session
 from metricloom.sources.tables import TableStore, read_table, write_table
 from metricloom.sources.topics import Topic
 
 PASSWORD = "METRICLOOM_JDBC_PASSWORD"
-STREAMS = {
-    "consume": (run_consume, preview_consume),
-    "snapshot": (run_snapshot, preview_snapshot),
-    "dated": (run_dated, preview_dated),
-}
+PREVIEWS = {"consume": preview_consume, "snapshot": preview_snapshot, "dated": preview_dated}
+TO_TOPIC = {"consume": run_consume, "snapshot": run_snapshot}
+TO_TABLE = {"snapshot": run_snapshot_table, "dated": run_dated}
 
 
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -65,7 +63,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     reports.add_argument("--column", action="append", default=[], metavar="REPORT_COLUMN=TABLE_COLUMN")
     tables(reports)
 
-    for name in STREAMS:
+    for name in PREVIEWS:
         stream = jobs.add_parser(name, help="a message topic to its sink")
         stream.add_argument("entity", choices=ENTITIES)
         stream.add_argument("--servers", help="Kafka brokers; without them topics are folders")
@@ -74,18 +72,17 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
         stream.add_argument("--preview", action="store_true", help="print the rows instead")
         stream.add_argument("--checkpoint")
         stream.add_argument("--every", help="time between batches; without it the job ends when all is read")
-        if name == "dated":
-            stream.add_argument("--tables")
+        if name != "dated":
+            stream.add_argument("--to", help="topic for the outgoing messages")
+        if name != "consume":
+            stream.add_argument("--tables", help="folder of tables, or a JDBC URL")
             stream.add_argument("--jdbc", action="append", default=[], metavar="OPTION=VALUE")
             stream.add_argument("--table")
-        else:
-            stream.add_argument("--to")
     parsed = parser.parse_args(argv)
-    if parsed.job in STREAMS and not parsed.preview:
-        sink = "tables" if parsed.job == "dated" else "to"
-        missing = [f"--{o}" for o in (sink, "checkpoint") if getattr(parsed, o) is None]
-        if missing:
-            parser.error(f"needs {' and '.join(missing)}, or --preview")
+    if parsed.job in PREVIEWS and not parsed.preview:
+        sinks = [o for o in ("to", "tables") if getattr(parsed, o, None) is not None]
+        if len(sinks) != 1 or parsed.checkpoint is None:
+            parser.error("needs one sink (--to or --tables) and --checkpoint, or --preview")
     return parsed
 
 
@@ -101,14 +98,15 @@ def store(args: argparse.Namespace) -> TableStore:
 
 
 def run_streaming(spark: SparkSession, args: argparse.Namespace) -> None:
-    run, preview = STREAMS[args.job]
     source = Topic(args.topic, args.servers, pairs(args.source_option))
     if args.preview:
-        query = preview(spark, args.entity, source, every=args.every)
-    elif args.job == "dated":
-        query = run(spark, args.entity, source, store(args), args.checkpoint, name=args.table, every=args.every)
+        query = PREVIEWS[args.job](spark, args.entity, source, every=args.every)
+    elif getattr(args, "tables", None) is not None:
+        to_table = TO_TABLE[args.job]
+        query = to_table(spark, args.entity, source, store(args), args.checkpoint, name=args.table, every=args.every)
     else:
-        query = run(spark, args.entity, source, Topic(args.to, args.servers), args.checkpoint, every=args.every)
+        to_topic = TO_TOPIC[args.job]
+        query = to_topic(spark, args.entity, source, Topic(args.to, args.servers), args.checkpoint, every=args.every)
     query.awaitTermination()
 
 

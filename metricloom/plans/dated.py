@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import TimestampType
 
 from metricloom.functions.casts import to_long
 from metricloom.functions.dates import duration_seconds, publish_month, publish_year
@@ -14,8 +16,11 @@ from metricloom.sources.topics import Topic
 from metricloom.streaming.runner import preview_stream, run_stream, stream_to_table
 
 
-def with_publish_period(df: DataFrame, millis: str = "published_at") -> DataFrame:
-    """``df`` plus ``year`` and ``month`` of the epoch-millis text column."""
+def with_publish_period(df: DataFrame, published: str = "published_at") -> DataFrame:
+    """``df`` plus ``year`` and ``month`` of a column of epoch-millis texts or of instants."""
+    millis = F.col(published)
+    if isinstance(df.schema[published].dataType, TimestampType):
+        millis = F.unix_millis(millis).cast("string")
     return df.select("*", publish_year(millis).alias("year"), publish_month(millis).alias("month"))
 
 

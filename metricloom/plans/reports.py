@@ -1,8 +1,8 @@
 """The reports: grouped sums, counts, averages, shares and daily changes.
 
 A report names its groups and measures; Spark pre-aggregates before each shuffle, so a
-group that holds most of the rows costs no more than any other. Inputs are the dated and
-enriched tables.
+group that holds most of the rows costs no more than any other. Inputs are the cleansed,
+enriched, dated and snapshot tables.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricloom.operators.snapshots import daily_change
+from metricloom.plans.dated import with_publish_period
 
 AUTHOR = "comment_author_channel_name"
 
@@ -150,6 +151,10 @@ REPORTS: dict[str, Report] = {
 
 def report(name: str, df: DataFrame, **columns: str) -> DataFrame:
     """Report ``name`` over a table. ``columns`` maps the report's columns to the table's
-    where they differ: ``report("a21", df, comment_author_channel_name="author")``."""
+    where they differ: ``report("a21", df, comment_author_channel_name="author")``. A table
+    without year and month gets them from ``published_at``."""
+    spec = REPORTS[name]
     renamed = df.withColumnsRenamed({actual: expected for expected, actual in columns.items()})
-    return REPORTS[name].build(renamed)
+    if {"year", "month"} & set(spec.groups) and not {"year", "month"} & set(renamed.columns):
+        renamed = with_publish_period(renamed)
+    return spec.build(renamed)

@@ -33,6 +33,25 @@ def test_streaming_job(spark, tmp_path):
     assert (row.channel_id, row.year, row.month) == ("c", "1970", "January")
 
 
+def test_snapshot_job_fills_a_table_that_is_reported(spark, tmp_path):
+    spark.sql("""SELECT CAST(NULL AS STRING) AS key,
+                 CAST('{"id":"c","snippet":{"country":"RS"},"statistics":{"viewCount":"5"}}' AS BINARY) AS value""").write.parquet(
+        str(tmp_path / "topic")
+    )
+    tables = ["--tables", str(tmp_path / "tables")]
+    main(["snapshot", "channels", "--topic", str(tmp_path / "topic"), *tables, "--checkpoint", str(tmp_path / "ck")], spark)
+    main(["report", "a26", "--table", "channels_snapshots", "--target", "changes", *tables], spark)
+    row = read_table(spark, TableStore(str(tmp_path / "tables")), "changes").first()
+    assert (row.country, row.view_count_sum, row.percent_change) == ("RS", 5, None)
+
+
+def test_a_stream_has_one_sink():
+    both = ["snapshot", "videos", "--topic", "t", "--to", "u", "--tables", "/t", "--checkpoint", "/c"]
+    with pytest.raises(SystemExit):
+        arguments(both)
+    assert arguments(both[:4] + both[6:]).tables == "/t"
+
+
 @pytest.mark.parametrize("job", ["consume", "snapshot", "dated"])
 def test_streams_need_a_sink_or_preview(job):
     with pytest.raises(SystemExit):

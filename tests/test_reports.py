@@ -75,6 +75,13 @@ def test_author_profile_with_renamed_author(spark):
     assert found == {("x", 2, 3, 4.5), ("y", 1, None, None)}
 
 
+def test_year_and_month_come_from_the_publish_time(spark, zone):
+    rows = spark.createDataFrame([("2020-12-31T23:30:00Z",), ("2021-01-01T00:30:00Z",), (None,)], "t string")
+    table = rows.select(F.col("t").cast("timestamp").alias("published_at"))
+    found = {tuple(r) for r in report("a09", table).collect()}
+    assert found == {("2020", "December", 1), ("2021", "January", 1), ("n/a", None, 1)}
+
+
 def test_sums_do_not_overflow_an_int(spark):
     rows = spark.range(3).select(F.lit("p").alias("playlist_title"), F.lit(2_000_000_000).alias("videos_count"))
     assert report("a07", rows).first().videos_count_sum == 6_000_000_000

@@ -251,3 +251,13 @@ def test_kafka_options():
     }
     assert Topic("videos", "b", {"startingOffsets": "latest"}).reader()[1]["startingOffsets"] == "latest"
     assert source.writer() == ("kafka", {"kafka.bootstrap.servers": "broker:9092", "topic": "videos"})
+
+
+def test_streams_keep_no_state_and_do_not_shuffle(spark):
+    source, store = topic(spark, "in"), TableStore(scratch_path(spark, "s"))
+    send(spark, source, [json.dumps(DATED["videos"])])
+    query = run_dated_videos(spark, source, store, checkpoint=scratch_path(spark, "ck"), name="t")
+    assert query.lastProgress["stateOperators"] == []
+    for transform in (consumed, snapshot, dated):
+        plan = transform(messages(spark, source), "videos")._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Python" not in plan
