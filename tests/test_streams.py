@@ -66,8 +66,8 @@ def odd(spark):
 @pytest.mark.parametrize("entity", ENTITIES)
 def test_consume_is_the_batch_result(spark, entity, odd):
     source, sink, checkpoint = topic(spark, "in", maxFilesPerTrigger="1"), topic(spark, "out"), scratch_path(spark, "ck")
-    for text in (json.dumps(FLAT[entity]), *odd):
-        send(spark, source, [text])
+    send(spark, source, [json.dumps(FLAT[entity])])
+    send(spark, source, odd)
     run_consume(spark, entity, source, sink, checkpoint)
     expected = topic_rows(consumed(messages(spark, source), entity), "channel_id" if entity == "channels" else "published_at")
     same(messages(spark, sink), expected)
@@ -94,9 +94,9 @@ def test_consumed_columns(spark):
 
 @pytest.mark.parametrize("entity", ENTITIES)
 def test_snapshot_is_the_batch_result(spark, entity, odd):
-    source, sink = topic(spark, "in", maxFilesPerTrigger="2"), topic(spark, "out")
-    for text in (json.dumps(NESTED[entity]), *odd):
-        send(spark, source, [text])
+    source, sink = topic(spark, "in", maxFilesPerTrigger="1"), topic(spark, "out")
+    send(spark, source, [json.dumps(NESTED[entity])])
+    send(spark, source, odd)
     run_snapshot(spark, entity, source, sink, scratch_path(spark, "ck"), at=AT)
     same(messages(spark, sink), topic_rows(snapshot(messages(spark, source), entity, AT)))
     assert messages(spark, sink).where("key IS NOT NULL").count() == 0
@@ -125,10 +125,10 @@ def test_snapshot_time_is_one_per_batch(spark):
 
 
 @pytest.mark.parametrize("entity", ENTITIES)
-def test_dated_is_the_batch_result(spark, zone, entity, odd):
-    source, store, checkpoint = topic(spark, "in", maxFilesPerTrigger="2"), TableStore(scratch_path(spark, "s")), scratch_path(spark, "ck")
-    for text in (json.dumps(DATED[entity]), *odd):
-        send(spark, source, [text])
+def test_dated_is_the_batch_result(spark, entity, odd):
+    source, store, checkpoint = topic(spark, "in", maxFilesPerTrigger="1"), TableStore(scratch_path(spark, "s")), scratch_path(spark, "ck")
+    send(spark, source, [json.dumps(DATED[entity])])
+    send(spark, source, odd)
     run_dated(spark, entity, source, store, checkpoint, name="t")
     expected = dated(messages(spark, source), entity)
     same(read_table(spark, store, "t").drop("query_id", "batch_id"), expected)
