@@ -70,6 +70,18 @@ def test_hot_keys_are_spread(spark, playlists):
     assert all(part == 0 for key, part in sizes if key != "hot")
 
 
+def test_hot_keys_beyond_the_broadcast_size(spark, playlists):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spread = spread_hot_keys(playlists.repartition(8), "channel_id", rows_per_task=60)
+        plan = spread._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert ids(spread) == ids(playlists)
+        assert spread.where("channel_id = 'hot'").select("part").distinct().count() > 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_hot_missing_key_is_spread(spark, playlists):
     spread = spread_hot_keys(playlists.withColumn("channel_id", F.lit(None).cast("string")), "channel_id", 100)
     assert spread.count() == 1000

@@ -124,6 +124,28 @@ def test_network_counts_against_brute_force(spark):
     assert keyword_counts(rows, "c").columns == ["i", "c", *[f"{n}_count" for n in NETWORKS]]
 
 
+def test_very_long_texts_and_runs(spark):
+    texts = [
+        "word twit-ter, " * 100_000,
+        "!" * 1_000_000,
+        " f" + "!" * 1_000_000 + "acebook",
+        " " * 1_000_000,
+        " reddit" * 100_000,
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, c string")
+    counted = keyword_counts(rows, "c").orderBy("i").collect()
+    assert [(r.twitter_count, r.facebook_count, r.reddit_count) for r in counted] == [
+        (100_000, 0, 0),
+        (0, 0, 0),
+        (0, 1, 0),
+        (0, 0, 0),
+        (0, 0, 100_000),
+    ]
+    lengths = rows.select("i", word_count("c").alias("n"), F.length(strip_punct("c")).alias("left")).orderBy("i").collect()
+    assert [r.n for r in lengths] == [200_000, 1, 2, 0, 100_001]
+    assert [r.left for r in lengths][1] == 0
+
+
 def test_no_python_and_one_stage(spark):
     rows = spark.range(1).select(F.lit("a").alias("c"))
     plan = keyword_counts(rows, "c").select("*", word_count("c"))._jdf.queryExecution().executedPlan().toString()
