@@ -18,6 +18,8 @@ from metricloom.schemas import TABLE_COLUMNS
 from metricloom.workload.registry import table
 
 MS_PER_HOUR = 3_600_000
+# Columns with missing values that results show in another type.
+SHOWN = {"made_for_kids": "string", "duration_seconds": "double", "duration_seconds_sum": "double"}
 # Days since 1970-01-01 of the first publish day of each entity.
 FIRST_DAY = {"channels": 14_610, "playlists": 15_340, "videos": 16_436, "comments": 17_532}
 
@@ -145,10 +147,16 @@ def reported(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
 
 
 def show_times(df: DataFrame, *columns: str) -> DataFrame:
-    """``df`` with instants as ``<column>_ms``."""
+    """``df`` with instants as ``<column>_ms``, and the rest as ``shown``."""
     for c in columns or ("published_at",):
         df = df.withColumn(f"{c}_ms", F.unix_millis(c)).drop(c)
-    return df
+    return shown(df)
+
+
+def shown(df: DataFrame) -> DataFrame:
+    """``df`` with its columns of missing whole numbers as doubles and of missing booleans
+    as text: a NULL among those looks different in each data frame library."""
+    return df.withColumns({c: F.col(c).cast(kind) for c, kind in SHOWN.items() if c in df.columns})
 
 
 # --- the same bindings in SQL ---------------------------------------------------------
@@ -248,10 +256,11 @@ PERIOD_SQL = "strftime(published_at, '%Y') AS \"year\", strftime(published_at, '
 
 def columns_sql(entity: str, columns: tuple[str, ...] | None = None) -> str:
     """Select list of an entity's columns with publish times in milliseconds."""
-    return ", ".join(
-        "epoch_ms(published_at) AS published_at_ms" if c == "published_at" else c
-        for c in columns or TABLE_COLUMNS[entity]
-    )
+    special = {
+        "published_at": "epoch_ms(published_at) AS published_at_ms",
+        "made_for_kids": "CAST(made_for_kids AS VARCHAR) AS made_for_kids",
+    }
+    return ", ".join(special.get(c, c) for c in columns or TABLE_COLUMNS[entity])
 
 
 def reported_sql(entity: str) -> str:

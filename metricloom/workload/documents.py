@@ -68,7 +68,8 @@ def nested_json_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flat_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The real JSON of events, next to broken and wrongly typed texts."""
-    return parse_flat(_event_messages(spark, sf_dir), EVENT_MESSAGE)
+    read = parse_flat(_event_messages(spark, sf_dir), EVENT_MESSAGE)
+    return read.select(F.col("event_id").cast("double").alias("event_id"), F.col("k").cast("double").alias("k"))
 
 
 def _event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,8 +152,8 @@ QUERIES: dict[str, Query] = {
     ),
     "flat_json_events": Query(
         flat_json_events,
-        """SELECT CASE WHEN event_id % 10 NOT IN (0, 2, 3) THEN event_id END AS event_id,
-                  CASE WHEN event_id % 10 > 3 THEN CAST(regexp_extract(props, '[0-9]+') AS INTEGER) END AS k
+        """SELECT CASE WHEN event_id % 10 NOT IN (0, 2, 3) THEN CAST(event_id AS DOUBLE) END AS event_id,
+                  CASE WHEN event_id % 10 > 3 THEN CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) END AS k
            FROM events""",
     ),
     "rejects_events": Query(rejects_events, "SELECT event_id FROM events WHERE event_id % 10 < 4"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from metricloom.functions import instant_from_utc
 from metricloom.plans.dated import with_publish_period
 from metricloom.plans.reports import REPORTS, report
-from metricloom.workload.bindings import as_epoch_text, reported, reported_sql
+from metricloom.workload.bindings import as_epoch_text, reported, reported_sql, shown
 from metricloom.workload.registry import Query, table
 
 NAMES = {
@@ -59,8 +59,8 @@ MEASURES_SQL = {
     " CAST(sum(like_count) AS BIGINT) * 100 / CAST(sum(sum(like_count)) OVER () AS DOUBLE) AS like_count_sum_percent",
     "a16": "count(*) AS video_count",
     "a17": "CAST(sum(view_count) AS BIGINT) AS view_count_sum, CAST(sum(like_count) AS BIGINT) AS like_count_sum,"
-    " CAST(sum(duration_seconds) AS BIGINT) AS duration_seconds_sum",
-    "a18": "CAST(sum(duration_seconds) AS BIGINT) AS duration_seconds_sum",
+    " CAST(sum(duration_seconds) AS DOUBLE) AS duration_seconds_sum",
+    "a18": "CAST(sum(duration_seconds) AS DOUBLE) AS duration_seconds_sum",
     "a19": "count(*) AS video_count",
     "a20": "avg(duration_seconds) AS duration_seconds_avg",
     "a21": "count(*) AS comment_count",
@@ -84,7 +84,7 @@ def _report(name: str) -> Query:
         sql = f"SELECT {groups}, {MEASURES_SQL[name]} FROM {source} GROUP BY {groups}"
     else:
         sql = f"SELECT {groups} FROM {source}"
-    return Query(lambda spark, sf_dir: report(name, reported(spark, sf_dir, spec.entity)), sql)
+    return Query(lambda spark, sf_dir: shown(report(name, reported(spark, sf_dir, spec.entity))), sql)
 
 
 def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ from metricloom.workload.bindings import (
     duration_sql,
     keyword_count_sql,
     raw_videos,
+    shown,
     word_count_sql,
 )
 from metricloom.workload.registry import Query, Run, table
@@ -91,9 +92,8 @@ def publish_year_month_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duration_seconds_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_videos(spark, sf_dir).select(
-        "video_id", "duration", duration_seconds("duration").alias("duration_seconds")
-    )
+    seconds = duration_seconds("duration").alias("duration_seconds")
+    return shown(raw_videos(spark, sf_dir).select("video_id", "duration", seconds))
 
 
 def _category_names(spaced: bool) -> Run:
@@ -156,7 +156,7 @@ QUERIES: dict[str, Query] = {
     ),
     "duration_seconds_videos": Query(
         duration_seconds_videos,
-        f"SELECT video_id, duration, {duration_sql('duration')} AS duration_seconds FROM ({VIDEOS_SQL}) AS v",
+        f"SELECT video_id, duration, CAST({duration_sql('duration')} AS DOUBLE) AS duration_seconds FROM ({VIDEOS_SQL}) AS v",
     ),
     "category_names_videos": Query(_category_names(False), _CATEGORY_SQL.format("category")),
     "category_names_spaced": Query(_category_names(True), _CATEGORY_SQL.format(category_sql("category_id", True))),

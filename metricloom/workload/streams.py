@@ -40,6 +40,7 @@ from metricloom.workload.bindings import (
     columns_sql,
     duration_sql,
     show_times,
+    shown,
 )
 from metricloom.workload.registry import Query
 from metricloom.workload.scalars import SNAPSHOT_MS, SNAPSHOT_TIME
@@ -126,21 +127,21 @@ def _dated(entity: str) -> Query:
             df = ENRICH[entity](df)
         publish(as_epoch_text(df).select(*columns), source)
         run_dated(spark, entity, source, store, scratch_path(spark, "checkpoint"), name=entity)
-        return read_table(spark, store, entity).drop("query_id", "batch_id")
+        return shown(read_table(spark, store, entity).drop("query_id", "batch_id"))
 
-    shown = []
+    selected = []
     for c in columns:
         if c == "published_at":
-            shown.append("CAST(epoch_ms(published_at) AS VARCHAR) AS published_at")
+            selected.append("CAST(epoch_ms(published_at) AS VARCHAR) AS published_at")
         elif c == "duration":
-            shown.append(f"{duration_sql('duration')} AS duration_seconds")
+            selected.append(f"CAST({duration_sql('duration')} AS DOUBLE) AS duration_seconds")
         elif c in renames:
-            shown.append(f"{c} AS {renames[c]}")
+            selected.append(f"{c} AS {renames[c]}")
         elif c in ("playlist_title_length", "text_length"):
-            shown.append(LENGTHS_SQL[entity])
+            selected.append(LENGTHS_SQL[entity])
         else:
-            shown.append(c)
-    return Query(run, f"SELECT {', '.join(shown)}, {PERIOD_SQL} FROM ({BOUND_SQL[entity]}) AS bound")
+            selected.append(c)
+    return Query(run, f"SELECT {', '.join(selected)}, {PERIOD_SQL} FROM ({BOUND_SQL[entity]}) AS bound")
 
 
 QUERIES: dict[str, Query] = {
