@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +40,18 @@ def map_arrow(
                     yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+class Shared:
+    """An object broadcast to tasks, class and all. A worker unpacks it once and keeps it, with whatever the
+    object remembers, for the tasks of the stage that it runs. Only for objects of bounded size."""
+
+    def __init__(self, spark: SparkSession, thing: object):
+        self.packed = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+
+    @property
+    def value(self) -> object:
+        kept = self.packed.__dict__
+        if "unpacked" not in kept:
+            kept["unpacked"] = cloudpickle.loads(self.packed.value)
+        return kept["unpacked"]

@@ -4,17 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metricloom.llm import mixing
+from metricloom.llm import bpe, mixing, token_files
 from metricloom.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op9_mixing,)}
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op2_bpe, op5_token_files, op9_mixing)}
 SQL: dict[str, str] = {"op9_mixing": mixing.SQL}
