@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metricloom.llm import bpe, mixing, token_files
+from metricloom.llm import bpe, exact_dedup, mixing, token_files
 from metricloom.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +24,14 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = exact_dedup.text_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op2_bpe, op5_token_files, op9_mixing)}
-SQL: dict[str, str] = {"op9_mixing": mixing.SQL}
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op2_bpe, op5_token_files, op7_exact_dedup, op9_mixing)}
+SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL, "op9_mixing": mixing.SQL}
