@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metricloom.llm import bpe, exact_dedup, mixing, token_files
+from metricloom.llm import bpe, exact_dedup, mixing, simhash, token_files
 from metricloom.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -33,5 +33,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op2_bpe, op5_token_files, op7_exact_dedup, op9_mixing)}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
+
+
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op2_bpe, op5_token_files, op7_exact_dedup, op9_mixing, op10_simhash)}
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL, "op9_mixing": mixing.SQL}
