@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metricloom.llm import bpe, exact_dedup, mixing, pii, simhash, token_files
+from metricloom.llm import bpe, exact_dedup, mixing, pii, quality, simhash, token_files
 from metricloom.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(table(spark, sf_dir, "documents"))
 
@@ -42,5 +46,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op2_bpe, op4_pii, op5_token_files, op7_exact_dedup, op9_mixing, op10_simhash)}
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op2_bpe, op3_quality, op4_pii, op5_token_files, op7_exact_dedup, op9_mixing, op10_simhash)}
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL, "op9_mixing": mixing.SQL}
