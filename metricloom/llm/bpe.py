@@ -36,6 +36,10 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Below this letter nothing composes, and letters are lowered one by one.
 NO_MARKS_BELOW = "\u0250"
 NO_LIMIT = 1 << 40
+END_MARKS = frozenset(".,;:!?")
+LONGEST_KEPT = 64
+# So many letters of a label look up the longest label that begins with them.
+FIRST = 4
 
 
 def byte_letters() -> list[str]:
@@ -45,13 +49,117 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
-class Automaton:
-    """Tables compiled from the merges; ``kept`` bounds the numbers of chunks, words and arcs remembered.
+def plain_word(chunk: str) -> tuple[str, str] | None:
+    """What most chunks are: a word of Latin letters, lowered, and perhaps one mark at its end."""
+    if chunk.isalpha():
+        word, mark = chunk, ""
+    elif chunk[-1:] in END_MARKS and chunk[:-1].isalpha():
+        word, mark = chunk[:-1], chunk[-1]
+    else:
+        return None
+    word = word.lower()
+    return (word, mark) if word.isascii() or max(word) < NO_MARKS_BELOW else None
 
-    ``splitting`` holds the vocabulary file's rules for normalising and splitting text; chunks beyond
-    Latin letters are split by the library with them, so that both agree on the classes of all letters.
+
+class Chunks(dict[str, bytes]):
+    """Ids of chunks met so far; a new chunk is encoded when it is asked for, and kept while there is room."""
+
+    def __init__(self, encoder: WordEncoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.encoder.encode_chunk(chunk)
+        if len(self) < self.encoder.kept and len(chunk) <= LONGEST_KEPT:
+            self[chunk] = ids
+        return ids
+
+
+class WordEncoder:
+    """Splits text into words as a vocabulary file says and remembers their ids; ``kept`` bounds the numbers of
+    chunks and words remembered. How a word is encoded is up to the subclass.
+
+    ``splitting`` holds the file's rules for normalising and splitting text; chunks beyond Latin letters are split
+    by the library with them, so that both agree on the classes of all letters.
     """
 
+    UNSHIPPED = ("words", "chunks", "letters", "find_pieces", "special_split", "rules")
+
+    def __init__(self, special: dict[str, int], splitting: dict[str, object], kept: int = 400_000):
+        self.special, self.splitting, self.kept = special, splitting, kept
+        self.ready()
+
+    def ready(self) -> None:
+        """What is not shipped: the tables of results and the compiled patterns."""
+        self.words: dict[str, bytes] = {}
+        self.chunks = Chunks(self)
+        self.letters = str.maketrans(dict(enumerate(byte_letters())))
+        self.find_pieces = regex.compile(PIECES).findall
+        self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        bare = {"version": "1.0", "added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}
+        self.rules = Tokenizer.from_str(json.dumps({**bare, **self.splitting}))
+
+    def __getstate__(self) -> dict[str, object]:
+        return {k: v for k, v in self.__dict__.items() if k not in self.UNSHIPPED}
+
+    def __setstate__(self, state: dict[str, object]) -> None:
+        self.__dict__.update(state)
+        self.ready()
+
+    def encode_word(self, word: str) -> list[int]:
+        """Ids of a word in byte letters."""
+        raise NotImplementedError
+
+    def pieces(self, text: str) -> list[str]:
+        """Normalised pieces in byte letters."""
+        lowered = text.lower()
+        if lowered.isascii() or max(lowered) < NO_MARKS_BELOW:
+            return [self.in_byte_letters(p) for p in self.find_pieces(lowered)]
+        return [p for p, _ in self.rules.pre_tokenizer.pre_tokenize_str(self.rules.normalizer.normalize_str(text))]
+
+    def word_ids(self, word: str) -> bytes:
+        """Ids of one lowered piece of Latin letters or marks."""
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) >= self.kept:
+                self.words.clear()
+            ids = self.words[word] = self.piece_ids(word if word.isascii() else self.in_byte_letters(word))
+        return ids
+
+    def piece_ids(self, piece: str) -> bytes:
+        return array("H", self.encode_word(piece)).tobytes()
+
+    def in_byte_letters(self, piece: str) -> str:
+        return piece.encode().decode("latin-1").translate(self.letters)
+
+    def encode_chunk(self, chunk: str) -> bytes:
+        plain = plain_word(chunk)
+        if plain is not None:
+            return self.word_ids(plain[0]) + (self.word_ids(plain[1]) if plain[1] else b"")
+        out = b""
+        for part in self.special_split.split(chunk) if "<|" in chunk and self.special_split else (chunk,):
+            if part in self.special:
+                out += array("H", (self.special[part],)).tobytes()
+            else:
+                out += b"".join(self.piece_ids(p) for p in self.pieces(part))
+        return out
+
+    def encode_bytes(self, text: str) -> bytes:
+        """Token ids of a text as 16-bit numbers. No piece crosses a blank, so each chunk between blanks is
+        encoded by itself."""
+        if len(self.chunks) >= self.kept:
+            self.chunks.clear()
+        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
+
+    def encode(self, text: str) -> list[int]:
+        return array("H", self.encode_bytes(text)).tolist()
+
+
+class Automaton(WordEncoder):
+    """Tables compiled from the merges."""
+
+    UNSHIPPED = (*WordEncoder.UNSHIPPED, "arcs", "decimals")
+
     def __init__(
         self,
         vocabulary: dict[str, int],
@@ -60,7 +168,6 @@ class Automaton:
         splitting: dict[str, object],
         kept: int = 400_000,
     ):
-        self.special, self.splitting, self.kept = special, splitting, kept
         self.labels = [""] * (1 + max([*vocabulary.values(), *special.values()]))
         for label, i in [*vocabulary.items(), *special.items()]:
             self.labels[i] = label
@@ -78,28 +185,14 @@ class Automaton:
             bare = label.removesuffix(WORD_END)
             if i in self.arc_fallback or len(bare) == 1:
                 (self.inner if bare == label else self.final)[bare] = i
-                self.reach[bare[:2]] = max(self.reach.get(bare[:2], 0), len(bare))
-        self.ready()
+                if len(bare) >= FIRST:
+                    self.reach[bare[:FIRST]] = max(self.reach.get(bare[:FIRST], 0), len(bare))
+        super().__init__(special, splitting, kept)
 
     def ready(self) -> None:
-        """What is not shipped: the tables of results and the compiled patterns."""
+        super().ready()
         self.arcs: dict[int, bool] = {}
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-        self.letters = str.maketrans(dict(enumerate(byte_letters())))
         self.decimals = [str(i) for i in range(len(self.labels))]
-        self.find_pieces = regex.compile(PIECES).findall
-        self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        bare = {"version": "1.0", "added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}
-        self.rules = Tokenizer.from_str(json.dumps({**bare, **self.splitting}))
-
-    def __getstate__(self) -> dict[str, object]:
-        made_here = ("arcs", "words", "chunks", "letters", "decimals", "find_pieces", "special_split", "rules")
-        return {k: v for k, v in self.__dict__.items() if k not in made_here}
-
-    def __setstate__(self, state: dict[str, object]) -> None:
-        self.__dict__.update(state)
-        self.ready()
 
     def add_gadget(self, rank: int, left: int, right: int, merged: int) -> None:
         self.removed.setdefault(left << 17 | right, rank)
@@ -138,7 +231,7 @@ class Automaton:
         path: list[int] = []
         starts: list[int] = []
         dead: set[tuple[int, int]] = set()
-        at, size = 0, reach.get(word[:2], 1)
+        at, size = 0, reach.get(word[:FIRST], FIRST - 1)
         while at < n:
             state = path[-1] if path else -1
             size = min(size, n - at)
@@ -155,62 +248,13 @@ class Automaton:
                 path.append(token)
                 starts.append(at)
                 at += size
-                size = reach.get(word[at : at + 2], 1)
+                size = reach.get(word[at : at + FIRST], FIRST - 1)
             else:
                 dead.add((at, path.pop()))
                 size = at - starts[-1] - 1
                 at = starts.pop()
         return path
 
-    def pieces(self, text: str) -> list[str]:
-        """Normalised pieces in byte letters."""
-        if text.isascii():
-            return self.find_pieces(text.lower())
-        if max(text) < NO_MARKS_BELOW:
-            return [p.encode().decode("latin-1").translate(self.letters) for p in self.find_pieces(text.lower())]
-        return [p for p, _ in self.rules.pre_tokenizer.pre_tokenize_str(self.rules.normalizer.normalize_str(text))]
-
-    def encode_chunk(self, chunk: str) -> bytes:
-        out = b""
-        for part in self.special_split.split(chunk) if "<|" in chunk and self.special_split else (chunk,):
-            if part in self.special:
-                out += array("H", (self.special[part],)).tobytes()
-                continue
-            for piece in self.pieces(part):
-                ids = self.words.get(piece)
-                if ids is None:
-                    if len(self.words) >= self.kept:
-                        self.words.clear()
-                    if piece.isascii() and not piece.isprintable():
-                        piece = piece.translate(self.letters)
-                    ids = self.words[piece] = array("H", self.encode_word(piece)).tobytes()
-                out += ids
-        return out
-
-    def encode_bytes(self, text: str) -> bytes:
-        """Token ids of a text as 16-bit numbers. No piece crosses a blank, so each chunk between blanks is
-        encoded by itself."""
-        chunks = self.chunks
-        split = text.replace("\n", " ").split(" ")
-        for chunk in split:
-            if chunk not in chunks:
-                if len(chunks) >= self.kept:
-                    return b"".join(self.encode_again(split))
-                chunks[chunk] = self.encode_chunk(chunk)
-        return b"".join(map(chunks.__getitem__, split))
-
-    def encode_again(self, split: list[str]) -> Iterator[bytes]:
-        """As ``encode_bytes``, for the text in which the table of chunks is full: it starts anew."""
-        self.chunks = {}
-        for chunk in split:
-            if len(self.chunks) < self.kept:
-                yield self.chunks.setdefault(chunk, self.encode_chunk(chunk))
-            else:
-                yield self.chunks[chunk] if chunk in self.chunks else self.encode_chunk(chunk)
-
-    def encode(self, text: str) -> list[int]:
-        return array("H", self.encode_bytes(text)).tolist()
-
     def decode(self, ids: Iterable[int]) -> str:
         """The labels of the arcs, set apart by blanks, as this vocabulary's files without a decoder ask for."""
         return " ".join(map(self.labels.__getitem__, ids))
@@ -219,12 +263,16 @@ class Automaton:
         return " ".join(map(self.decimals.__getitem__, ids))
 
 
+def rules_of(read: dict) -> tuple[dict[str, int], dict[str, object]]:
+    """A vocabulary file's special strings and its rules for normalising and splitting."""
+    return {t["content"]: t["id"] for t in read["added_tokens"]}, {k: read[k] for k in ("normalizer", "pre_tokenizer")}
+
+
 def load_automaton(path: str) -> Automaton:
     with open(path, encoding="utf-8") as file:
         read = json.load(file)
+    special, splitting = rules_of(read)
     pairs = (tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in read["model"]["merges"])
-    special = {t["content"]: t["id"] for t in read["added_tokens"]}
-    splitting = {k: read[k] for k in ("normalizer", "pre_tokenizer")}
     return Automaton(read["model"]["vocab"], pairs, special, splitting)
 
 

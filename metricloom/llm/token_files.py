@@ -19,10 +19,9 @@ Defined results: a null or empty text has only the end id. A null ``doc_id`` com
 from __future__ import annotations
 
 import io
+import json
 import zlib
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -33,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from metricloom.llm.bpe import WordEncoder, rules_of
 from metricloom.llm.common import Shared, text_or_empty
 from metricloom.session import materialize, scratch_path
 
@@ -57,35 +57,25 @@ def skippable(magic: int, body: bytes) -> bytes:
     return magic.to_bytes(4, "little") + len(body).to_bytes(4, "little") + body
 
 
-@dataclass
-class Encoder:
-    """The library's tokenizer with a bounded table of chunks: no token crosses a blank, so a text's
-    ids are those of its chunks between blanks, and the library encodes each new chunk once."""
-
-    definition: str
-    kept: int = 400_000
-    known: dict[str, bytes] = field(default_factory=dict)
-    tokenizer: Tokenizer | None = None
-
-    def __getstate__(self) -> dict[str, object]:
-        return {"definition": self.definition, "kept": self.kept, "known": {}, "tokenizer": None}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as 32-bit little-endian numbers."""
-        if self.tokenizer is None:
-            self.tokenizer = Tokenizer.from_str(self.definition)
-            self.tokenizer.no_truncation()
-            self.tokenizer.no_padding()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) >= self.kept:
-            self.known = {}
-        known = self.known
-        new = list({c for chunks in split for c in chunks if c not in known})
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            for chunk, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[chunk] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+class LibraryEncoder(WordEncoder):
+    """The library's tokenizer, asked once for each word while the tables have room."""
+
+    UNSHIPPED = (*WordEncoder.UNSHIPPED, "model")
+
+    def __init__(self, definition: str, kept: int = 200_000):
+        self.definition = definition
+        super().__init__(*rules_of(json.loads(definition)), kept)
+
+    def ready(self) -> None:
+        super().ready()
+        self.model = Tokenizer.from_str(self.definition).model
+
+    def encode_word(self, word: str) -> list[int]:
+        return [token.id for token in self.model.tokenize(word)]
+
+    def encode_wide(self, text: str) -> bytes:
+        """Ids of a text as 32-bit little-endian numbers."""
+        return np.frombuffer(self.encode_bytes(text), np.uint16).astype("<u4").tobytes()
 
 
 class FileWriter:
@@ -183,7 +173,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str
     ``folder`` may be in any store that ``pyarrow.fs`` opens by its address (file, hdfs, s3, gs).
     """
     with open(vocabulary, encoding="utf-8") as file:
-        shared = Shared(docs.sparkSession, Encoder(file.read()))
+        shared = Shared(docs.sparkSession, LibraryEncoder(file.read()))
     end = np.array([end_id], "<u4").tobytes()
     slim = docs.select("doc_id", text_or_empty().alias("text")).withColumn("tie", F.xxhash64("text"))
     order = (F.col("doc_id").asc_nulls_first(), F.col("tie"))
@@ -201,7 +191,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str
                     store.create_dir(root, recursive=True)
                     stream = store.open_output_stream(f"{root}/{name}", compression=None)
                     writer = FileWriter(stream)
-                for doc_id, ids in zip(part["doc_id"].to_pylist(), shared.value.encode(part["text"].to_pylist()), strict=True):
+                for doc_id, ids in zip(part["doc_id"].to_pylist(), map(shared.value.encode_wide, part["text"].to_pylist()), strict=True):
                     writer.add(doc_id, ids + end)
         if writer is not None:
             writer.close()
