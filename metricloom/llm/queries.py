@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metricloom.llm import bpe, exact_dedup, mixing, pii, quality, simhash, token_files
+from metricloom.llm import bpe, exact_dedup, mixing, pii, quality, simhash, token_files, toxicity
 from metricloom.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.text_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -46,5 +50,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op2_bpe, op3_quality, op4_pii, op5_token_files, op7_exact_dedup, op9_mixing, op10_simhash)}
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op2_bpe, op3_quality, op4_pii, op5_token_files, op6_toxicity, op7_exact_dedup, op9_mixing, op10_simhash)}
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL, "op9_mixing": mixing.SQL}
