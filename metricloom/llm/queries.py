@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metricloom.llm import bpe, exact_dedup, mixing, pii, quality, simhash, token_files, toxicity
+from metricloom.llm import bpe, exact_dedup, mixing, pii, quality, secrets, simhash, token_files, toxicity
 from metricloom.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ Run = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -50,5 +54,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op2_bpe, op3_quality, op4_pii, op5_token_files, op6_toxicity, op7_exact_dedup, op9_mixing, op10_simhash)}
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_quality, op4_pii, op5_token_files, op6_toxicity, op7_exact_dedup, op9_mixing, op10_simhash)}
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL, "op9_mixing": mixing.SQL}

@@ -1,0 +1,150 @@
+"""Secret scan: candidates from native expressions, false positives removed by a random forest.
+
+A candidate is a run of sixteen or more key letters with a digit in it, perhaps the value of an assignment.
+Its features are its length, character transitions, dictionary coverage, whether it looks like a path, and the
+words around it. A random forest over them tells secrets from hashes in passing, identifiers, numbers and paths.
+
+Findings are labelled by two kinds of plain evidence. Secret: the value has a provider's prefix, or it is
+assigned to a name like ``password`` or ``token``. No secret: it is all digits, a path or address, a placeholder, or
+stands after a word like ``commit`` or ``sha256``. Only labelled findings train the forest; the rest are scored by
+it. The evidence itself (prefix, name) is not among the features but for the name's closeness.
+
+All of it is DataFrame expressions and the JVM's forest; no Python runs in tasks.
+
+Defined results: a null or empty text has no candidates. Without labelled findings of both sorts the score of a
+finding is 1 or 0 by its label, and 0.5 if it has none. Repeated rows give repeated results; other columns are ignored.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from metricloom.llm.common import text_or_empty
+from metricloom.session import materialize
+
+LEAST_LETTERS = 16
+TREES = 20
+DEPTH = 6
+SEED = 42
+AROUND = 40
+# The forest learns from at most this many findings of each sort, those with the smallest hash.
+MAX_ROWS = 50_000
+
+KEY_LETTERS = r"[A-Za-z0-9+/=_.\-]"
+RUN = rf"(?={KEY_LETTERS}*[0-9]){KEY_LETTERS}{{{LEAST_LETTERS},}}"
+# Prefixes of providers' keys.
+PROVIDER = r"^(AKIA[A-Z0-9]{16}|ASIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})$"
+ASSIGNED = r"(?i)(pass(word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)[a-z_\"']*\s*(=|:|=>|:=)\s*[\"']?$"
+HARMLESS_BEFORE = r"(?i)(commit|revision|sha-?1|sha-?256|md5|checksum|digest|hash|uuid|version)[\s:=\"']*$"
+PLACEHOLDER = r"(?i)(example|sample|changeme|placeholder|your[_-]|xxxx|0000|1234567|abcdef)"
+# Common beginnings and endings of words, whose share tells words from noise.
+DICTIONARY = "tion|ing|the|and|ent|ion|ter|ver|con|pro|com|ate|ment|able|http|www|html|ung|ich|que|ado|ción|user|name|file|data|test|index|page|image"
+
+NAME = r"^([A-Za-z_.\-]*=)([^=])"
+
+FEATURES = [
+    "length", "digit_share", "upper_share", "lower_share", "hex_share", "case_changes", "kind_changes", "distinct_share",
+    "longest_same", "dictionary_share", "vowel_share", "slashes", "dots", "separators", "assigned_near", "quoted", "key_word_near",
+    "hash_word_near", "path_near", "words_before",
+]
+
+
+def candidates(docs: DataFrame) -> DataFrame:
+    """``doc_id, start, before, value, after``: one row per candidate; ``start`` counts code points from 0.
+
+    The text is cut at every run, so a run begins where the lengths of all that stands before it add up to.
+    """
+    texts = docs.select("doc_id", text_or_empty().alias("text")).where(F.col("text").rlike(RUN))
+    cut = texts.select("doc_id", F.regexp_extract_all("text", F.lit(f"({RUN})"), F.lit(1)).alias("runs"), F.split("text", RUN, -1).alias("between"))
+    parts = F.transform(
+        F.col("runs"),
+        lambda run, n: F.struct(
+            run.alias("value"),
+            F.length(F.get("between", n)).alias("gap"),
+            F.right(F.concat(F.coalesce(F.get("runs", n - 1), F.lit("")), F.get("between", n)), F.lit(AROUND)).alias("before"),
+            F.left(F.get("between", n + 1), F.lit(AROUND)).alias("after"),
+        ),
+    )
+    # The row's number is taken in a step of its own: beside the generator, it would count the exploded rows.
+    numbered = cut.select("doc_id", parts.alias("parts")).withColumn("row", F.monotonically_increasing_id())
+    each = numbered.select("doc_id", "row", F.posexplode("parts").alias("n", "part")).select("doc_id", "row", "n", "part.*")
+    upto = Window.partitionBy("row").orderBy("n")
+    end = F.sum(F.col("gap") + F.length("value")).over(upto)
+    return each.select("doc_id", (end - F.length("value")).alias("start"), "before", "value", "after")
+
+
+def split_assignment(found: DataFrame) -> DataFrame:
+    """A run such as ``password=...`` is a name and a value; the name joins what stands before."""
+    name = F.regexp_extract("value", NAME, 1)
+    return found.withColumns(
+        {
+            "before": F.concat("before", name),
+            "start": F.col("start") + F.length(name),
+            "value": F.regexp_replace("value", NAME, "$2"),
+        }
+    ).where(F.length("value") >= LEAST_LETTERS)
+
+
+def share(pattern: str) -> Column:
+    return (F.length("value") - F.length(F.regexp_replace("value", pattern, ""))) / F.length("value")
+
+
+def described(found: DataFrame) -> DataFrame:
+    """Candidates with their features."""
+    kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[a-z]", "l"), "[A-Z]", "u"), "[0-9]", "d")
+    changes = F.regexp_count(kinds, F.lit("(?=lu|ul)"))
+    all_changes = F.regexp_count(kinds, F.lit("(?=lu|ul|ld|dl|ud|du)"))
+    letters = F.filter(F.split("value", ""), lambda c: c != "")
+    same = F.regexp_extract_all("value", F.lit(r"((.)\2*)"), F.lit(1))
+    value, before = F.col("value"), F.col("before")
+    has = lambda column, pattern: column.rlike(pattern).cast("double")
+    columns: dict[str, Column] = {
+        "length": F.log1p(F.length("value")),
+        "digit_share": share("[0-9]"),
+        "upper_share": share("[A-Z]"),
+        "lower_share": share("[a-z]"),
+        "hex_share": share("[0-9a-f]"),
+        "case_changes": changes / F.length("value"),
+        "kind_changes": all_changes / F.length("value"),
+        "distinct_share": F.size(F.array_distinct(letters)) / F.least(F.length("value"), F.lit(36)),
+        "longest_same": F.array_max(F.transform(same, F.length)).cast("double"),
+        "dictionary_share": share(f"(?i)({DICTIONARY})"),
+        "vowel_share": share("[aeiouAEIOU]"),
+        "slashes": share("/"),
+        "dots": share(r"\."),
+        "separators": share(r"[_\-]"),
+        "assigned_near": has(before, r"[=:]\s*[\"']?$"),
+        "quoted": has(before, r"[\"'`]$"),
+        "key_word_near": has(before, r"(?i)(key|secret|token|pass|pwd|auth|cred)"),
+        "hash_word_near": has(before, r"(?i)(commit|sha|md5|hash|digest|uuid|version)"),
+        "path_near": has(before, r"(/|\\|://)\S*$"),
+        "words_before": F.regexp_count("before", F.lit(r"[A-Za-z]{2,}")).cast("double"),
+    }
+    is_secret = value.rlike(PROVIDER) | before.rlike(ASSIGNED)
+    harmless = value.rlike(r"^[0-9.\-]+$") | value.rlike(r"^(/|\.{1,2}/|www\.|[a-z]+://)|\.(com|org|net|html?|py|js|png|jpg)\b") | value.rlike(PLACEHOLDER) | before.rlike(HARMLESS_BEFORE)
+    label = F.when(harmless, 0.0).when(is_secret, 1.0)
+    return found.withColumns({**{k: v.cast("double") for k, v in columns.items()}, "label": label})
+
+
+def scan(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """``doc_id, start, end, value_sha256, known, score, is_secret`` for every candidate.
+
+    ``known`` is the label by plain evidence, null without any. The values themselves are not passed on.
+    """
+    found = materialize(described(split_assignment(candidates(docs))), "secret-candidates")
+    order = (F.xxhash64("value", "before"), "doc_id", "start")
+    sample = found.where("label = 0").orderBy(*order).limit(MAX_ROWS).unionByName(found.where("label = 1").orderBy(*order).limit(MAX_ROWS))
+    sample = materialize(sample.select("label", *FEATURES), "secret-sample")
+    place = ("doc_id", "start", (F.col("start") + F.length("value")).alias("end"), F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), F.col("label").cast("int").alias("known"))
+    if sample.select("label").distinct().count() < 2:
+        scored = found.select(*place, F.coalesce("label", F.lit(0.5)).alias("score"))
+    else:
+        vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
+        forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label")
+        model = forest.fit(vectors.transform(sample))
+        scored = model.transform(vectors.transform(found)).select(*place, vector_to_array("probability")[1].alias("score"))
+    return scored.withColumn("is_secret", F.col("score") >= threshold)
