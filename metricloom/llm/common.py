@@ -32,12 +32,15 @@ def map_arrow(
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
+    def column(values: object, kind: pa.DataType) -> pa.Array:
+        return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, piece):
                 out = rows(batch.slice(start, piece))
                 if out is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+                    yield pa.RecordBatch.from_arrays([column(out[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
 

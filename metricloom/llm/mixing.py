@@ -141,11 +141,11 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` themselves, each as often as the mix takes it."""
-    taken = mix(docs).where("copies > 0").select("doc_id", "hash", "copies").distinct()
+    taken = mix(docs).where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("hash").alias("__taken"), F.col("copies").alias("__copies")).distinct()
     keyed = docs.withColumn("__hash", document_hash())
-    both = keyed.join(taken, keyed["doc_id"].eqNullSafe(taken["doc_id"]) & (keyed["__hash"] == taken["hash"]))
-    repeated = both.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-    return repeated.select(*[keyed[c] for c in docs.columns])
+    both = keyed.join(taken, keyed["doc_id"].eqNullSafe(taken["__id"]) & (keyed["__hash"] == taken["__taken"]))
+    repeated = both.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
+    return repeated.select(*docs.columns)
 
 
 SQL = """
