@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metricloom.llm import bpe, exact_dedup, mixing, pii, quality, secrets, simhash, token_files, toxicity
+from metricloom.llm import ann, bpe, exact_dedup, mixing, pii, quality, secret_scan, simhash, token_files, toxicity
 from metricloom.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +17,7 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(table(spark, sf_dir, "documents"))
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -54,5 +58,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_quality, op4_pii, op5_token_files, op6_toxicity, op7_exact_dedup, op9_mixing, op10_simhash)}
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_quality, op4_pii, op5_token_files, op6_toxicity, op7_exact_dedup, op8_ann, op9_mixing, op10_simhash)}
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL, "op9_mixing": mixing.SQL}
