@@ -55,6 +55,8 @@ class FuzzyLexicon:
         stack = list(places.items())
         while stack:
             node, spent = stack.pop()
+            if node == ROOT:
+                continue
             for child in self.children[node].values():
                 if spent + 1 <= self.bound[child] and places.get(child, 9) > spent + 1:
                     places[child] = spent + 1
