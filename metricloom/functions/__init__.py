@@ -1,7 +1,7 @@
 """Column expressions. Every function is built from native Spark expressions, so the
 same call works on batch and streaming DataFrames and stays on the JVM side."""
 
-from metricloom.functions.casts import to_instant, to_int, to_key, to_long, whole_number
+from metricloom.functions.casts import document_instant, to_instant, to_int, to_key, to_long, whole_number
 from metricloom.functions.dates import (
     duration_seconds,
     instant_from_utc,
@@ -23,6 +23,7 @@ from metricloom.functions.text import (
 __all__ = [
     "NETWORKS",
     "category_name",
+    "document_instant",
     "duration_seconds",
     "instant_from_utc",
     "keyword_count",

@@ -29,27 +29,28 @@ DURATION_PATTERN = r"^PT(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?$"
 _MS_PER_DAY = 86_400_000
 _US_PER_DAY = 86_400_000_000
 _SECONDS_PER_DAY = 86_400
-# Milliseconds of at most 16 digits, which reach some 300,000 years either way, and a
-# number of days that makes any of them positive.
-_MILLIS = r"^[+-]?0*[0-9]{1,16}$"
-_SHIFT_DAYS = 120_000_000
+_MILLIS = r"^[+-]?[0-9]+\z"
+# The calendar repeats after 400 years, which are so many days.
+_CYCLE_YEARS = 400
+_CYCLE_DAYS = 146_097
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _day_of(value: Column, per_day: int) -> Column:
-    """Day number since 1970-01-01 of an epoch number. Shifted to be positive, the number
-    divides downwards in whole numbers."""
-    shifted = value + F.lit(_SHIFT_DAYS * per_day)
-    return (F.call_function("div", shifted, F.lit(per_day)) - _SHIFT_DAYS).cast("int")
+def _floor_div(value: Column, by: int) -> Column:
+    """Whole quotient, rounded downwards, over the full range of a bigint."""
+    return F.call_function("div", value, F.lit(by)) - (value % by < 0).cast("bigint")
 
 
-def _publish_date(text: Column) -> Column:
-    """UTC date of an epoch-millis text, NULL if it is missing or not one."""
+def _in_cycle(text: Column) -> tuple[Column, Column]:
+    """UTC date of an epoch-millis text moved into the 400 years from 1970 on, and the years to add; NULL if
+    the text is missing or not a bigint."""
     millis = F.when(text.rlike(_MILLIS), text.try_cast("bigint"))
-    return F.date_from_unix_date(_day_of(millis, _MS_PER_DAY))
+    days = _floor_div(millis, _MS_PER_DAY)
+    cycle = _floor_div(days, _CYCLE_DAYS)
+    return F.date_from_unix_date((days - cycle * _CYCLE_DAYS).cast("int")), cycle * _CYCLE_YEARS
 
 
 # The labels below mention a part of the date more than once, always where it is computed
@@ -61,7 +62,8 @@ def publish_year(c: Column | str) -> Column:
     unreadable one NULL. As in ISO-8601 a year has at least four digits, and a sign outside
     0..9999."""
     text = _col(c)
-    year = F.year(_publish_date(text))
+    date, years = _in_cycle(text)
+    year = F.year(date) + years
     digits = F.abs(year).cast("string")
     sign = F.when(year > 9999, "+").when(year < 0, "-").otherwise("")
     label = F.concat(sign, F.lpad(digits, F.greatest(F.length(digits), F.lit(4)), "0"))
@@ -71,13 +73,13 @@ def publish_year(c: Column | str) -> Column:
 def publish_month_number(c: Column | str) -> Column:
     """UTC month ``01``..``12`` of an epoch-millis text; missing gives ``n/a``, unreadable NULL."""
     text = _col(c)
-    number = F.lpad(F.month(_publish_date(text)).cast("string"), 2, "0")
+    number = F.lpad(F.month(_in_cycle(text)[0]).cast("string"), 2, "0")
     return F.coalesce(number, F.when(text.isNull(), MISSING))
 
 
 def publish_month(c: Column | str) -> Column:
     """English name of the UTC publish month; missing or unreadable gives NULL."""
-    number = F.month(_publish_date(_col(c)))
+    number = F.month(_in_cycle(_col(c))[0])
     return F.get(F.array(*map(F.lit, MONTHS)), number - 1)
 
 
@@ -114,7 +116,7 @@ def instant_from_utc(c: Column | str) -> Column:
 def utc_day(c: Column | str) -> Column:
     """UTC calendar date of an instant."""
     seconds = F.unix_seconds(_col(c))
-    return F.date_from_unix_date(_day_of(seconds, _SECONDS_PER_DAY))
+    return F.date_from_unix_date(_floor_div(seconds, _SECONDS_PER_DAY).cast("int"))
 
 
 def with_snapshot_time(df: DataFrame, at: datetime | str | None = None) -> DataFrame:

@@ -1,11 +1,11 @@
 """Command line of the jobs, for spark-submit.
 
-    spark-submit metricloom/jobs.py cleanse videos --landing hdfs:///landing/channels/*/videos/*/statistics \\
+    spark-submit metricloom_job.py cleanse videos --landing hdfs:///landing/channels/*/videos/*/statistics \\
         --tables hdfs:///tables
-    spark-submit metricloom/jobs.py enrich videos --tables jdbc:postgresql://db/batch --jdbc user=reports
-    spark-submit metricloom/jobs.py consume comments --servers broker:9092 --topic comments --to comments_out \\
+    spark-submit metricloom_job.py enrich videos --tables jdbc:postgresql://db/batch --jdbc user=reports
+    spark-submit metricloom_job.py consume comments --servers broker:9092 --topic comments --to comments_out \\
         --checkpoint hdfs:///checkpoints/consume-comments --every "1 second"
-    spark-submit metricloom/jobs.py report a25 --tables hdfs:///tables --table comments_enriched --target author_profile
+    spark-submit metricloom_job.py report a25 --tables hdfs:///tables --table comments_enriched --target author_profile
 
 A JDBC password is read from METRICLOOM_JDBC_PASSWORD, never from the command line.
 """
@@ -74,6 +74,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
         stream.add_argument("--every", help="time between batches; without it the job ends when all is read")
         if name != "dated":
             stream.add_argument("--to", help="topic for the outgoing messages")
+            stream.add_argument("--sink-option", action="append", default=[], metavar="OPTION=VALUE")
         if name != "consume":
             stream.add_argument("--tables", help="folder of tables, or a JDBC URL")
             stream.add_argument("--jdbc", action="append", default=[], metavar="OPTION=VALUE")
@@ -106,7 +107,7 @@ def run_streaming(spark: SparkSession, args: argparse.Namespace) -> None:
         query = to_table(spark, args.entity, source, store(args), args.checkpoint, name=args.table, every=args.every)
     else:
         to_topic = TO_TOPIC[args.job]
-        query = to_topic(spark, args.entity, source, Topic(args.to, args.servers), args.checkpoint, every=args.every)
+        query = to_topic(spark, args.entity, source, Topic(args.to, args.servers, sink_options=pairs(args.sink_option)), args.checkpoint, every=args.every)
     query.awaitTermination()
 
 

@@ -2,27 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricloom.functions.casts import to_instant, whole_number
+from metricloom.functions.casts import document_instant, to_instant, whole_number
 from metricloom.schemas import CORRUPT, ITEM_FIELDS, Field, item_schema, struct_of
 
 
-def _typed(value: Column, field: Field) -> Column:
+def _typed(value: Column, field: Field, instant: Callable[[Column], Column]) -> Column:
     if field.becomes == field.arrives:
         return value
     if field.becomes == "timestamp":
-        return to_instant(value)
+        return instant(value)
     return whole_number(value, field.becomes)
 
 
-def project_fields(df: DataFrame, fields: Iterable[Field], root: str, keep: Iterable[str] = ()) -> DataFrame:
-    """One flat, typed column per field of the struct column ``root``."""
-    columns = [_typed(F.col(f"{root}.{f.path}"), f).alias(f.name) for f in fields]
+def project_fields(
+    df: DataFrame, fields: Iterable[Field], root: str, keep: Iterable[str] = (), instant: Callable[[Column], Column] = to_instant
+) -> DataFrame:
+    """One flat, typed column per field of the struct column ``root``; ``instant`` reads times."""
+    columns = [_typed(F.col(f"{root}.{f.path}"), f, instant).alias(f.name) for f in fields]
     return df.select(*keep, *columns)
 
 
@@ -33,8 +35,9 @@ def project_paths(df: DataFrame, paths: Mapping[str, str]) -> DataFrame:
 
 def flatten_envelope(df: DataFrame, entity: str) -> DataFrame:
     """One typed row per element of ``items``; documents with no items give no rows and
-    everything else in the envelope is left behind."""
-    return project_fields(df.select(F.explode("items").alias("item")), ITEM_FIELDS[entity], "item")
+    everything else in the envelope is left behind. Times must have the documents' own form."""
+    items = df.select(F.explode("items").alias("item"))
+    return project_fields(items, ITEM_FIELDS[entity], "item", instant=document_instant)
 
 
 def decode_value(df: DataFrame) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricloom.functions.text import keyword_counts, word_count
+from metricloom.functions.text import NETWORKS, keyword_counts, word_count
 from metricloom.sources.tables import TableStore, read_table, write_table
 
 
@@ -14,8 +14,9 @@ def enrich_playlists(df: DataFrame) -> DataFrame:
     return df.select("*", word_count("playlist_title").alias("playlist_title_length"))
 
 
-def enrich_videos(df: DataFrame) -> DataFrame:
-    return keyword_counts(df, "video_description")
+def enrich_videos(df: DataFrame, networks: Sequence[str] = NETWORKS) -> DataFrame:
+    """A report over one network need not look for the others."""
+    return keyword_counts(df, "video_description", networks)
 
 
 def enrich_comments(df: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from metricloom.operators.snapshots import daily_change
 from metricloom.plans.dated import with_publish_period
+from metricloom.session import materialize
 
 AUTHOR = "comment_author_channel_name"
 
@@ -43,14 +44,14 @@ class Listing(Report):
 class Share(Report):
     """Each measure with its percentage of the total over all groups.
 
-    The total is a one-row subquery over the grouped rows, so neither the table nor the
-    groups pass through a single task.
+    The grouped rows are written once and read for both the shares and their one-row total, so
+    the table is scanned once and neither it nor the groups pass through a single task.
     """
 
     percentages: tuple[str, ...] = ()
 
     def build(self, df: DataFrame) -> DataFrame:
-        grouped = super().build(df)
+        grouped = materialize(super().build(df), "grouped")
         shares = []
         for name in self.percentages:
             total = grouped.agg(F.sum(name)).scalar()

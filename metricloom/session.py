@@ -23,6 +23,8 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.files.openCostInBytes": "512k",
+    # Pages are collected in object aggregates; past so many of them a task sorts and spills.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16",
 }
 
 
@@ -50,7 +52,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     return _own_folder(spark.sparkContext.applicationId)
 

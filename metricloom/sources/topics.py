@@ -17,12 +17,15 @@ class Topic:
     """A topic by name on Kafka brokers (``servers`` set), or a folder.
 
     A first run starts at the earliest message so that it is complete; ``options`` override
-    that and add limits such as ``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``.
+    that and add limits such as ``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``. Messages that expired
+    unread fail the query, unless the option ``failOnDataLoss=false`` lets it skip them. ``sink_options`` are those
+    of the writer: security, compression, acknowledgements, batching.
     """
 
     name: str
     servers: str | None = None
     options: dict[str, str] = field(default_factory=dict)
+    sink_options: dict[str, str] = field(default_factory=dict)
 
     @property
     def is_folder(self) -> bool:
@@ -31,14 +34,14 @@ class Topic:
     def reader(self) -> tuple[str, dict[str, str]]:
         if self.servers is None:
             return "parquet", {**self.options, "recursiveFileLookup": "true"}
-        defaults = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
+        defaults = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
         fixed = {"kafka.bootstrap.servers": self.servers, "subscribe": self.name}
         return "kafka", {**defaults, **self.options, **fixed}
 
     def writer(self) -> tuple[str, dict[str, str]]:
         if self.servers is None:
-            return "parquet", {"path": self.name}
-        return "kafka", {"kafka.bootstrap.servers": self.servers, "topic": self.name}
+            return "parquet", {**self.sink_options, "path": self.name}
+        return "kafka", {**self.sink_options, "kafka.bootstrap.servers": self.servers, "topic": self.name}
 
 
 def read_stream(spark: SparkSession, topic: Topic) -> DataFrame:

@@ -6,6 +6,8 @@ them as milliseconds so that no session zone enters the comparison.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from metricloom.functions.dates import duration_seconds
 from metricloom.functions.lookup import CATEGORIES, SPACED_CATEGORIES, with_category
 from metricloom.functions.text import NETWORKS
 from metricloom.plans.dated import with_publish_period
-from metricloom.plans.enrich import ENRICH
+from metricloom.plans.enrich import ENRICH, enrich_videos
 from metricloom.schemas import TABLE_COLUMNS
 from metricloom.workload.registry import table
 
@@ -136,10 +138,12 @@ def as_epoch_text(df: DataFrame) -> DataFrame:
     return df.withColumn("published_at", F.unix_millis("published_at").cast("string"))
 
 
-def reported(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """The bound table enriched and dated, as the reports read it."""
+def reported(spark: SparkSession, sf_dir: str, entity: str, networks: Sequence[str] = NETWORKS) -> DataFrame:
+    """The bound table enriched and dated, as the reports read it; of the network counts those named."""
     df = BOUND[entity](spark, sf_dir)
-    if entity in ENRICH:
+    if entity == "videos":
+        df = enrich_videos(df, networks)
+    elif entity in ENRICH:
         df = ENRICH[entity](df)
     if entity == "videos":
         df = df.select("*", duration_seconds("duration").alias("duration_seconds"))
@@ -192,9 +196,26 @@ def duration_sql(text: str) -> str:
     )
 
 
+# The category ids and names once more, so that the SQL does not rest on the engine's own map.
+_CATEGORY_SQL = """
+WHEN 1 THEN 'Film & Animation' WHEN 2 THEN 'Autos & Vehicles' WHEN 10 THEN 'Music' WHEN 15 THEN 'Pets & Animals'
+WHEN 17 THEN 'Sports' WHEN 18 THEN 'Short Movies' WHEN 19 THEN 'Travel & Events' WHEN 20 THEN 'Gaming'
+WHEN 21 THEN 'Videoblogging' WHEN 22 THEN 'People & Blogs' WHEN 23 THEN 'Comedy' WHEN 24 THEN 'Entertainment'
+WHEN 25 THEN 'News & Politics' WHEN 26 THEN 'Howto & Style' WHEN 27 THEN 'Education'
+WHEN 28 THEN 'Science & Technology' WHEN 29 THEN 'Nonprofits & Activism' WHEN 30 THEN 'Movies'
+WHEN 31 THEN 'Anime/Animation' WHEN 32 THEN 'Action/Adventure' WHEN 33 THEN 'Classics' WHEN 34 THEN 'Comedy'
+WHEN 35 THEN 'Documentary' WHEN 36 THEN 'Drama' WHEN 37 THEN 'Family' WHEN 38 THEN 'Foreign' WHEN 39 THEN 'Horror'
+WHEN 40 THEN 'Sci-Fi/Fantasy' WHEN 41 THEN 'Thriller' WHEN 42 THEN 'Shorts' WHEN 43 THEN 'Shows' WHEN 44 THEN 'Trailers'
+"""
+
+
 def category_sql(key: str, spaced: bool = False) -> str:
-    names = {**CATEGORIES, **SPACED_CATEGORIES} if spaced else CATEGORIES
-    return f"CASE {key} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in names.items()) + " END"
+    names = f"CASE {key} {_CATEGORY_SQL} END"
+    if not spaced:
+        return names
+    return (
+        f"CASE {key} WHEN 31 THEN 'Anime / Animation' WHEN 32 THEN 'Action / Adventure' WHEN 40 THEN 'Sci - Fi / Fantasy' ELSE {names} END"
+    )
 
 
 CHANNELS_SQL = f"""
@@ -212,7 +233,8 @@ SELECT CAST(p_partkey AS VARCHAR) AS playlist_id, p_name AS playlist_title, p_ty
        'id ' || p_brand AS channel_id, p_brand AS channel_title, p_size AS videos_count
 FROM part"""
 
-_NETWORK_LIST = ", ".join(f"'{n}'" for n in NETWORKS)
+_NETWORKS_SQL = ("facebook", "instagram", "twitter", "youtube", "tiktok", "reddit", "discord")
+_NETWORK_LIST = ", ".join(f"'{n}'" for n in _NETWORKS_SQL)
 
 VIDEOS_SQL = f"""
 SELECT CAST(doc_id AS VARCHAR) AS video_id,
@@ -248,7 +270,7 @@ BOUND_SQL = {"channels": CHANNELS_SQL, "playlists": PLAYLISTS_SQL, "videos": VID
 LENGTHS_SQL = {
     "playlists": f"{word_count_sql('playlist_title')} AS playlist_title_length",
     "comments": f"{word_count_sql('comment_text')} AS text_length",
-    "videos": ", ".join(f"{keyword_count_sql('video_description', n)} AS {n}_count" for n in NETWORKS),
+    "videos": ", ".join(f"{keyword_count_sql('video_description', n)} AS {n}_count" for n in _NETWORKS_SQL),
 }
 
 PERIOD_SQL = "strftime(published_at, '%Y') AS \"year\", strftime(published_at, '%B') AS \"month\""

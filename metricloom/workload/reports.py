@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricloom.functions import instant_from_utc
+from metricloom.functions import NETWORKS, instant_from_utc
 from metricloom.plans.dated import with_publish_period
 from metricloom.plans.reports import REPORTS, report
 from metricloom.workload.bindings import as_epoch_text, reported, reported_sql, shown
@@ -72,19 +72,47 @@ MEASURES_SQL = {
 }
 
 
-def _quoted(columns: tuple[str, ...]) -> str:
-    return ", ".join(f'"{c}"' if c in ("year", "month") else c for c in columns)
+# Groups of each report in SQL.
+GROUPS_SQL = {
+    "a01": "country",
+    "a02": "country",
+    "a03": 'country, "year"',
+    "a04": "channel_id, channel_title",
+    "a05": '"year"',
+    "a06": '"month"',
+    "a07": "playlist_title",
+    "a08": '"year", playlist_title_length',
+    "a09": '"year", "month"',
+    "a10": "video_title, channel_title",
+    "a11": "video_title, channel_title, view_count",
+    "a12": "category",
+    "a13": "instagram_count",
+    "a14": "twitter_count",
+    "a15": "language",
+    "a16": '"year", "month"',
+    "a17": "video_id, video_title",
+    "a18": "category",
+    "a19": "category, language",
+    "a20": "category, language",
+    "a21": "comment_author_channel_name",
+    "a22": "comment_author_channel_name",
+    "a23": "comment_author_channel_name",
+    "a24": '"year", "month"',
+    "a25": "comment_author_channel_name",
+}
 
 
 def _report(name: str) -> Query:
     spec = REPORTS[name]
-    groups = _quoted(spec.groups)
+    groups = GROUPS_SQL[name]
     source = f"({reported_sql(spec.entity)}) AS reported"
     if name in MEASURES_SQL:
         sql = f"SELECT {groups}, {MEASURES_SQL[name]} FROM {source} GROUP BY {groups}"
     else:
         sql = f"SELECT {groups} FROM {source}"
-    return Query(lambda spark, sf_dir: shown(report(name, reported(spark, sf_dir, spec.entity))), sql)
+    counted = spec.groups[0].removesuffix("_count")
+    networks = (counted,) if counted in NETWORKS else NETWORKS
+    return Query(lambda spark, sf_dir: shown(report(name, reported(spark, sf_dir, spec.entity, networks))), sql)
 
 
 def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

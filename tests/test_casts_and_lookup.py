@@ -1,8 +1,9 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from metricloom.functions import category_name, to_instant, to_int, to_key, to_long, with_category
+from metricloom.functions import category_name, document_instant, to_instant, to_int, to_key, to_long, with_category
 from metricloom.functions.lookup import CATEGORIES
 
 NUMBERS = [
@@ -59,3 +60,18 @@ def test_category_costs_nothing_when_unused(spark):
     rows = spark.range(3).select(F.col("id").cast("int").alias("category_id"))
     plan = with_category(rows).groupBy("category_id").count()._jdf.queryExecution().optimizedPlan().toString()
     assert "Music" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("text", ["2020-03-08T10:30:00Z", "2020-03-08 10:30:00+00:00", "2020-03-08T12:30:00+02:00", "2020-03-08T10:30:00", "2020-3-8 10:30:00.000"])
+def test_instants_in_any_zone(column, zone, ansi, text):
+    assert column([text], "string", F.unix_millis(to_instant("c"))) == [1583663400000]
+
+
+@pytest.mark.parametrize("text", ["12:34", "2020", "2020-03-08T10:30", "2020-03-08", "T10:30:00Z", "2020-03-08T10:30:00Z\n", "2020-13-08T10:30:00Z", "", "now", None])
+def test_what_is_no_instant(column, zone, ansi, text):
+    assert column([text], "string", to_instant("c")) == [None]
+
+
+def test_document_times_have_one_form(column, zone, ansi):
+    texts = ["2020-03-08T10:30:00Z", "2020-03-08 10:30:00Z", "2020-03-08T10:30:00+02:00", "2020-03-08T10:30:00.5Z", "12:34", None]
+    assert column(texts, "string", F.unix_millis(document_instant("c"))) == [1583663400000, None, None, None, None, None]

@@ -37,7 +37,7 @@ class Rows:
 
 
 STORE = TableStore("jdbc:postgresql://db/batch", {"user": "u", "numPartitions": "8"})
-TOPIC = Topic("videos", "broker:9092", {"maxOffsetsPerTrigger": "1000"})
+TOPIC = Topic("videos", "broker:9092", {"maxOffsetsPerTrigger": "1000"}, {"kafka.acks": "all"})
 
 
 def test_jdbc_read():
@@ -67,6 +67,7 @@ def test_kafka_reads():
     read_topic(session, TOPIC)
     for reader in (session.readStream, session.read):
         assert reader.calls["format"] == ("kafka",) and reader.calls["options"]["subscribe"] == "videos"
+        assert reader.calls["options"]["failOnDataLoss"] == "true"
         assert "schema" not in reader.calls and reader.calls["load"] == ()
 
 
@@ -76,9 +77,14 @@ def test_kafka_writes(spark, monkeypatch):
     monkeypatch.setattr("metricloom.streaming.runner.topic_rows", lambda df, key: df)
     publish(rows, TOPIC)
     stream_to_topic(rows, TOPIC, "hdfs:///ck", every="1 second")
-    sink = {"kafka.bootstrap.servers": "broker:9092", "topic": "videos"}
+    sink = {"kafka.acks": "all", "kafka.bootstrap.servers": "broker:9092", "topic": "videos"}
     assert rows.write.calls["format"] == ("kafka",) and rows.write.calls["options"] == sink
     stream = rows.writeStream.calls
     assert stream["format"] == ("kafka",) and stream["options"] == sink
     assert stream["option"] == ("checkpointLocation", "hdfs:///ck")
     assert stream["trigger"] == {"processingTime": "1 second"} and "start" in stream
+
+
+def test_data_loss_can_be_accepted():
+    kind, options = Topic("videos", "broker:9092", {"failOnDataLoss": "false"}).reader()
+    assert kind == "kafka" and options["failOnDataLoss"] == "false"

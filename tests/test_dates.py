@@ -28,6 +28,13 @@ PERIODS = [
     ("253402300799999", "9999", "12", "December"),
     ("253402300800000", "+10000", "01", "January"),
     ("-62135596800001", "0000", "12", "December"),
+    ("123\n", None, None, None),
+    ("9999999999999999", "+318857", "05", "May"),
+    ("99999999999999999", "+3170843", "11", "November"),
+    ("-99999999999999999", "-3166904", "02", "February"),
+    ("9223372036854775807", "+292278994", "08", "August"),
+    ("-9223372036854775808", "-292275055", "05", "May"),
+    ("9223372036854775808", None, None, None),
     # The moment Los Angeles skips an hour.
     ("1710064800000", "2024", "03", "March"),
 ]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metricloom.operators.envelope import flatten_envelope, nested_item
-from metricloom.operators.pages import spread_hot_keys, to_envelopes
+from metricloom.operators.pages import hot_keys, paged_items, to_envelopes
 from metricloom.plans.cleanse import LANDING_GLOBS, run_cleanse_videos
 from metricloom.session import scratch_path
 from metricloom.sources.landing import broken_documents, fanout_keys, land_by_key, read_documents, read_envelopes
@@ -60,32 +60,53 @@ def test_a_glob_reads_the_same(spark, playlists):
     assert read_envelopes(spark, f"{path}/*/*", "playlists").count() == read_envelopes(spark, path, "playlists").count()
 
 
-def test_hot_keys_are_spread(spark, playlists):
-    spread = spread_hot_keys(playlists.repartition(8), "channel_id", rows_per_task=60)
-    assert spread.columns == [*playlists.columns, "part"]
-    sizes = {(r.channel_id, r.part): r["count"] for r in spread.groupBy("channel_id", "part").count().collect()}
-    assert sum(sizes.values()) == 1000
-    hot = [n for (key, _), n in sizes.items() if key == "hot"]
-    assert len(hot) > 4 and max(hot) < 200
-    assert all(part == 0 for key, part in sizes if key != "hot")
+def places(df, **options):
+    paged = paged_items(df, "channel_id", nested_item(df, "playlists"), "playlist_id", page_bytes=900, **options)
+    return Counter((r.page_key, r.page, r.position, r.item.id, r.key_rows) for r in paged.collect())
+
+
+def test_pages_do_not_depend_on_splitting(spark, playlists):
+    whole = places(playlists)
+    assert places(playlists.repartition(8), rows_per_task=60) == whole
+    by_key = {}
+    for key, page, position, playlist_id, key_rows in sorted(whole, key=lambda p: (str(p[0]), p[2])):
+        by_key.setdefault(key, []).append((page, position, playlist_id))
+        assert key_rows == {"hot": 500, None: 20}.get(key, 12)
+    for rows in by_key.values():
+        assert [r[1] for r in rows] == list(range(len(rows)))
+        assert [r[2] for r in rows] == sorted(r[2] for r in rows) and [r[0] for r in rows] == sorted(r[0] for r in rows)
+
+
+def test_pages_point_to_the_next(spark, playlists):
+    documents = to_envelopes(playlists, "channel_id", nested_item(playlists, "playlists"), "playlist_id", 900, 60).collect()
+    by_key = {}
+    for d in sorted(documents, key=lambda d: d.pageInfo.firstItem):
+        by_key.setdefault(d.channel_id, []).append(d)
+    for pages in by_key.values():
+        assert [p.nextPageToken for p in pages] == [*(str(p.pageInfo.firstItem) for p in pages[1:]), None]
+    assert len(by_key["hot"]) > 50
+
+
+def test_many_pages_in_a_task_stay_in_order(spark):
+    rows = spark.range(60_000).select((F.col("id") % 2000).cast("string").alias("k"), F.lpad(F.col("id").cast("string"), 6, "0").alias("o"))
+    documents = to_envelopes(rows.repartition(2), "k", F.struct("o"), "o", 120).collect()
+    assert sum(len(d["items"]) for d in documents) == 60_000 and len(documents) > 2000
+    assert all([i.o for i in d["items"]] == sorted(i.o for i in d["items"]) for d in documents)
 
 
 def test_hot_keys_beyond_the_broadcast_size(spark, playlists):
+    expected = places(playlists)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        spread = spread_hot_keys(playlists.repartition(8), "channel_id", rows_per_task=60)
-        plan = spread._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "Broadcast" not in plan
-        assert ids(spread) == ids(playlists)
-        assert spread.where("channel_id = 'hot'").select("part").distinct().count() > 4
+        assert places(playlists.repartition(8), rows_per_task=60) == expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_hot_missing_key_is_spread(spark, playlists):
-    spread = spread_hot_keys(playlists.withColumn("channel_id", F.lit(None).cast("string")), "channel_id", 100)
-    assert spread.count() == 1000
-    assert spread.select("part").distinct().count() > 4
+def test_a_missing_key_can_be_hot(spark, playlists):
+    missing = playlists.withColumn("channel_id", F.lit(None).cast("string"))
+    assert [r.hot_key for r in hot_keys(missing, "channel_id", 100).collect()] == [None]
+    assert places(missing, rows_per_task=100) == places(missing)
 
 
 def test_one_shuffle_per_landing(spark, playlists):
