@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from metricloom.operators.envelope import nested_item
 from metricloom.plans.cleanse import run_cleanse
 from metricloom.plans.consume import preview_consume, run_consume
 from metricloom.plans.dated import preview_dated, run_dated
@@ -26,6 +27,7 @@ from metricloom.plans.reports import REPORTS, report
 from metricloom.plans.snapshot import preview_snapshot, run_snapshot, run_snapshot_table
 from metricloom.schemas import ENTITIES
 from metricloom.session import job_session
+from metricloom.sources.landing import fanout_keys, land_by_key
 from metricloom.sources.tables import TableStore, read_table, write_table
 from metricloom.sources.topics import Topic
 
@@ -56,6 +58,21 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     enrich.add_argument("--target")
     tables(enrich)
 
+    land = jobs.add_parser("land", help="a table to landed documents, a folder per key")
+    land.add_argument("entity", choices=ENTITIES)
+    land.add_argument("--landing", required=True, help="folder to write")
+    land.add_argument("--table")
+    land.add_argument("--key", required=True, help="column whose values name the folders")
+    land.add_argument("--order-by", required=True, help="column that orders the items of a key")
+    tables(land)
+
+    fanout = jobs.add_parser("fanout", help="the distinct keys of a table, which drive the next pull")
+    fanout.add_argument("--table", required=True)
+    fanout.add_argument("--key", required=True)
+    fanout.add_argument("--parent", help="keys per value of this column")
+    fanout.add_argument("--target", required=True)
+    tables(fanout)
+
     reports = jobs.add_parser("report", help="a table to a report table")
     reports.add_argument("name", choices=tuple(REPORTS))
     reports.add_argument("--table", required=True)
@@ -120,6 +137,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     elif args.job == "enrich":
         name = args.table or args.entity
         run_enrich(spark, args.entity, store(args), store(args), name, args.target or f"{name}_enriched", args.mode)
+    elif args.job == "land":
+        rows = read_table(spark, store(args), args.table or args.entity)
+        keyed = rows.select(rows[args.key].alias("folder"), rows[args.order_by].alias("row_key"), nested_item(rows, args.entity).alias("item"))
+        land_by_key(keyed, args.landing, "folder", keyed["item"], "row_key")
+    elif args.job == "fanout":
+        write_table(fanout_keys(read_table(spark, store(args), args.table), args.key, args.parent), store(args), args.target, args.mode)
     elif args.job == "report":
         rows = report(args.name, read_table(spark, store(args), args.table), **pairs(args.column))
         write_table(rows, store(args), args.target, args.mode)

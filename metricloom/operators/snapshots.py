@@ -10,17 +10,41 @@ from pyspark.sql import functions as F
 from metricloom.functions.dates import utc_day
 
 
+# A moment in microseconds and a whole number share a decimal of 38 digits: the number, made
+# positive and zero if missing, has the lower twenty.
+_UNIT = 10**20
+_OFFSET = 2**63 + 1
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _decimal(value: Column | int) -> Column:
+    column = F.lit(str(value)) if isinstance(value, int) else value
+    return column.cast("decimal(38,0)")
+
+
 def latest_per_day(df: DataFrame, key: str, attributes: Sequence[str], measure: str) -> DataFrame:
     """The last snapshot of each key on each UTC day; of two taken at the same instant the
     one with the larger measure counts.
 
     An aggregate rather than a ranking window, so a key with very many snapshots is reduced
-    before the shuffle.
+    before the shuffle. Time and measure are compared as one number of fixed width, which keeps
+    that first aggregate a hash table; only one row per key, day and attributes is then compared
+    with its texts.
     """
-    last = F.max(F.struct("current_time", measure, *attributes)).alias("last")
+    kind = dict(df.dtypes)[measure]
     daily = df.select(key, "current_time", measure, *attributes, utc_day("current_time").alias("snapshot_date"))
-    picked = daily.groupBy(key, "snapshot_date").agg(last)
-    return picked.select(key, "snapshot_date", *[f"last.{c}" for c in (*attributes, measure)])
+    if kind not in _WHOLE:
+        last = F.max(F.struct("current_time", measure, *attributes)).alias("last")
+        picked = daily.groupBy(key, "snapshot_date").agg(last)
+        return picked.select(key, "snapshot_date", *[f"last.{c}" for c in (*attributes, measure)])
+    number = F.coalesce(_decimal(F.col(measure)) + _decimal(_OFFSET), _decimal(0))
+    moment = _decimal(F.unix_micros("current_time")) * F.lit(str(_UNIT)).cast("decimal(21,0)")
+    packed = (moment.cast("decimal(38,0)") + number).cast("decimal(38,0)")
+    best = daily.groupBy(key, "snapshot_date", *attributes).agg(F.max(packed).alias("packed"))
+    last = best.groupBy(key, "snapshot_date").agg(F.max(F.struct("packed", *attributes)).alias("last"))
+    number = F.pmod(F.col("last.packed"), F.lit(str(_UNIT)).cast("decimal(38,0)"))
+    value = F.when(number > 0, (number - _decimal(_OFFSET)).cast(kind)).alias(measure)
+    return last.select(key, "snapshot_date", *[f"last.{c}" for c in attributes], value)
 
 
 def percent_change(now: Column, before: Column) -> Column:

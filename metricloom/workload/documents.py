@@ -15,7 +15,7 @@ from metricloom.operators.envelope import (
     rejects,
     to_json_value,
 )
-from metricloom.operators.pages import to_envelopes
+from metricloom.operators.pages import paged_items, to_envelopes
 from metricloom.operators.quality import message_counts
 from metricloom.plans.cleanse import run_cleanse
 from metricloom.schemas import ITEM_FIELDS, KEYS
@@ -110,6 +110,19 @@ def json_roundtrip_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_times(read, "o_orderdate")
 
 
+def landing_pages_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each order stands in the pages of its status; every status has more rows than a task may sort."""
+    paged = paged_items(table(spark, sf_dir, "orders"), "o_orderstatus", F.struct("o_orderkey"), "o_orderkey", page_bytes=4000, rows_per_task=100)
+    return paged.select(F.col("page_key").alias("o_orderstatus"), F.col("item.o_orderkey").alias("o_orderkey"), "page", "position", "key_rows")
+
+
+LANDING_PAGES_SQL = """
+SELECT o_orderstatus, o_orderkey,
+  CAST(sum(15 + length(CAST(o_orderkey AS VARCHAR))) OVER w - (15 + length(CAST(o_orderkey AS VARCHAR))) AS BIGINT) // 4000 AS page,
+  row_number() OVER w - 1 AS position, count(*) OVER (PARTITION BY o_orderstatus) AS key_rows
+FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING)"""
+
+
 def land(spark: SparkSession, sf_dir: str, entity: str) -> str:
     """Land the bound entity as API documents and return the folder."""
     df = BOUND[entity](spark, sf_dir)
@@ -144,6 +157,7 @@ def _fanout(name: str, key: str, parent: str | None) -> Run:
 _VIDEO_COLUMNS = tuple(f.name for f in ITEM_FIELDS["videos"])
 
 QUERIES: dict[str, Query] = {
+    "landing_pages_orders": Query(landing_pages_orders, LANDING_PAGES_SQL),
     "flatten_orders_envelope": Query(
         flatten_orders_envelope, "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
     ),

@@ -71,6 +71,29 @@ def _epoch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", millis.alias("millis"))
 
 
+def publish_periods_far(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periods of moments spread over the whole range of a bigint, before and after 1970."""
+    far = F.col("o_orderkey") % 1_000_003 * 9_223_000_000_001 * (F.col("o_orderkey") % 2 * 2 - 1)
+    return _periods(table(spark, sf_dir, "orders").select("o_orderkey", far.cast("string").alias("millis")))
+
+
+# Whole quotients rounded downwards, and the calendar of the 400 years from 1970 on, where all repeats.
+PERIODS_FAR_SQL = """
+WITH m AS (
+  SELECT o_orderkey, o_orderkey % 1000003 * 9223000000001 * (o_orderkey % 2 * 2 - 1) AS millis FROM orders),
+d AS (
+  SELECT *, CASE WHEN millis >= 0 THEN millis // 86400000 ELSE -((86399999 - millis) // 86400000) END AS days FROM m),
+c AS (
+  SELECT *, CASE WHEN days >= 0 THEN days // 146097 ELSE -((146096 - days) // 146097) END AS cycle FROM d),
+p AS (
+  SELECT o_orderkey, DATE '1970-01-01' + CAST(days - cycle * 146097 AS INTEGER) AS day, cycle * 400 AS years FROM c),
+y AS (SELECT *, year(day) + years AS y FROM p)
+SELECT o_orderkey, CASE WHEN y > 9999 THEN '+' WHEN y < 0 THEN '-' ELSE '' END
+    || CASE WHEN abs(y) < 10000 THEN lpad(CAST(abs(y) AS VARCHAR), 4, '0') ELSE CAST(abs(y) AS VARCHAR) END AS "year",
+  strftime(day, '%m') AS month_number, strftime(day, '%B') AS "month"
+FROM y"""
+
+
 def _periods(df: DataFrame) -> DataFrame:
     return df.select(
         "o_orderkey",
@@ -120,6 +143,7 @@ def snapshot_time_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CATEGORY_SQL = "SELECT video_id, category_id, {} AS category FROM (" + VIDEOS_SQL + ") AS v"
 
 QUERIES: dict[str, Query] = {
+    "publish_periods_far": Query(publish_periods_far, PERIODS_FAR_SQL),
     "word_count_documents": _word_count("documents", ("doc_id",), "text"),
     "word_count_conversations": _word_count("conversations", ("conv_id", "turn"), "text"),
     "word_count_pages": _word_count("pages", ("page_id",), "html"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricloom.functions.text import NETWORKS
-from metricloom.operators.envelope import nested_item
+from metricloom.operators.envelope import decode_value, nested_item, parse_flat
 from metricloom.plans.consume import MESSAGE_KEYS, run_consume
 from metricloom.plans.dated import run_dated
 from metricloom.plans.enrich import ENRICH
@@ -29,6 +29,7 @@ from metricloom.schemas import (
 from metricloom.session import scratch_path
 from metricloom.sources.tables import TableStore, read_table
 from metricloom.sources.topics import Topic, publish, read_topic
+from metricloom.streaming.runner import run_stream, stream_to_table
 from metricloom.workload.bindings import (
     BOUND,
     BOUND_SQL,
@@ -144,10 +145,38 @@ def _dated(entity: str) -> Query:
     return Query(run, f"SELECT {', '.join(selected)}, {PERIOD_SQL} FROM ({BOUND_SQL[entity]}) AS bound")
 
 
+def throttled_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dated comments again, read one file of messages at a time."""
+    topic, store = scratch_path(spark, "in-comments"), TableStore(scratch_path(spark, "store"))
+    df = as_epoch_text(ENRICH["comments"](BOUND["comments"](spark, sf_dir))).select(*DATED_MESSAGES["comments"])
+    publish(df.repartition(3, "comment_id"), Topic(topic))
+    source = Topic(topic, options={"maxFilesPerTrigger": "1"})
+    run_dated(spark, "comments", source, store, scratch_path(spark, "checkpoint"), name="comments")
+    rows = read_table(spark, store, "comments")
+    batches = rows.agg(F.count_distinct("batch_id")).scalar()
+    return rows.select("comment_id", "year", "month", (batches > 1).alias("several_batches"))
+
+
+def chained_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel items to a topic of snapshots, and that topic on to a table."""
+    source, between, store = _topic(spark, "in-channels"), _topic(spark, "snapshots"), TableStore(scratch_path(spark, "store"))
+    df = channels(spark, sf_dir)
+    publish(df.select(nested_item(df, "channels").alias("item")).select("item.*"), source)
+    run_snapshot(spark, "channels", source, between, scratch_path(spark, "checkpoint"), at=SNAPSHOT_TIME)
+    message = _snapshot_types("channels")
+    to_table = lambda sdf: stream_to_table(sdf, store, "channels", scratch_path(spark, "checkpoint"))
+    run_stream(spark, between, lambda sdf: parse_flat(decode_value(sdf), message), to_table)
+    return show_times(read_table(spark, store, "channels").drop("query_id", "batch_id"), "published_at", "current_time")
+
+
 QUERIES: dict[str, Query] = {
     **{f"stream_consume_{entity}": _consume(entity) for entity in ENTITIES},
     **{f"stream_snapshot_{entity}": _snapshot(entity) for entity in ENTITIES},
     **{f"stream_dated_{entity}": _dated(entity) for entity in ENTITIES},
+    "stream_throttled_comments": Query(
+        throttled_comments, f"SELECT comment_id, {PERIOD_SQL}, true AS several_batches FROM ({BOUND_SQL['comments']}) AS bound"
+    ),
+    "stream_chained_channels": Query(chained_channels, _snapshot("channels").sql),
     "stream_snapshot_table_channels": Query(
         snapshot_table_channels,
         f"""WITH sums AS (SELECT country, CAST(sum(view_count) AS BIGINT) AS view_count_sum

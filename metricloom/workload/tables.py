@@ -23,12 +23,16 @@ def _enrich(entity: str) -> Query:
     return Query(run, sql)
 
 
-def enrich_stored_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _enrich_stored(entity: str) -> Query:
     """The enrichment from a stored table to a stored table."""
-    store = TableStore(scratch_path(spark, "store"))
-    write_table(cleansed(spark, sf_dir, "comments"), store, "comments")
-    run_enrich(spark, "comments", store, store, "comments", "comments_enriched")
-    return show_times(read_table(spark, store, "comments_enriched"))
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = TableStore(scratch_path(spark, "store"))
+        write_table(cleansed(spark, sf_dir, entity), store, entity)
+        run_enrich(spark, entity, store, store, entity, f"{entity}_enriched")
+        return show_times(read_table(spark, store, f"{entity}_enriched"))
+
+    return Query(run, _enrich(entity).sql)
 
 
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +66,7 @@ def sample_rows_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     **{f"enrich_{entity}": _enrich(entity) for entity in ENRICH},
-    "enrich_stored_comments": Query(enrich_stored_comments, _enrich("comments").sql),
+    **{f"enrich_stored_{entity}": _enrich_stored(entity) for entity in ENRICH},
     "table_roundtrip": Query(
         table_roundtrip, f"SELECT {columns_sql('channels')} FROM ({BOUND_SQL['channels']}) AS bound"
     ),

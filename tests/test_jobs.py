@@ -1,4 +1,7 @@
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 
@@ -65,3 +68,22 @@ def test_password_comes_from_the_environment(monkeypatch):
     assert store(args).options == {"user": "reports", "password": "secret"}
     folder = arguments(["enrich", "videos", "--tables", "/tables"])
     assert store(folder).options == {}
+
+
+def test_the_launcher_starts_from_any_folder(tmp_path):
+    launcher = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "metricloom_job.py")
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, launcher, "--help"], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and "fanout" in done.stdout
+
+
+def test_land_cleanse_and_fan_out(spark, tmp_path):
+    rows = [("p1", "T", None, None, "c1", "C", 3), ("p2", "T", None, None, "c1", "C", 4), ("p3", "T", None, None, "c2", "D", 5)]
+    schema = "playlist_id string, playlist_title string, playlist_description string, published_at timestamp, channel_id string, channel_title string, videos_count int"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/tables/playlists")
+    main(["land", "playlists", "--tables", f"{tmp_path}/tables", "--landing", f"{tmp_path}/landing", "--key", "channel_id", "--order-by", "playlist_id"], spark)
+    main(["cleanse", "playlists", "--tables", f"{tmp_path}/tables", "--landing", f"{tmp_path}/landing", "--table", "back"], spark)
+    back = spark.read.parquet(f"{tmp_path}/tables/back")
+    assert sorted(r.playlist_id for r in back.collect()) == ["p1", "p2", "p3"]
+    main(["fanout", "--tables", f"{tmp_path}/tables", "--table", "back", "--key", "channel_id", "--target", "channel_ids"], spark)
+    assert sorted(r.channel_id for r in spark.read.parquet(f"{tmp_path}/tables/channel_ids").collect()) == ["c1", "c2"]

@@ -43,6 +43,15 @@ def test_a_report_looks_for_its_own_network_only(spark):
     assert "t\\p{Punct}*+w" not in plan and "(?:i" in plan
 
 
+@pytest.mark.parametrize("name", ["pct_change_country", "pct_change_playlists", "pct_change_videos"])
+def test_snapshots_are_reduced_by_a_hash_table_first(spark, name):
+    plan = queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    lines = [line for line in plan.splitlines() if "Aggregate(" in line or "Exchange hash" in line or " Sort " in line]
+    first = max(i for i, line in enumerate(lines) if "Exchange hash" in line)
+    below = lines[first + 1 :]
+    assert below and all("HashAggregate" in line and "ObjectHash" not in line for line in below)
+
+
 def test_entry_points(spark):
     assert entry(spark).count() > 0
     assert QUERIES.keys() <= queries().keys() and QUERIES.keys() <= oracle_sql().keys()
