@@ -152,7 +152,8 @@ class Tape:
                 continue
             copy(match.start())
             at = match.end()
-            changed.extend(range(len(starts), len(starts) + len(new)))
+            # What is taken out shows in the letters on either side.
+            changed.extend(range(len(starts), len(starts) + len(new)) if new else (max(len(starts) - 1, 0), len(starts)))
             if is_bare(match):
                 bare.extend(range(len(starts), len(starts) + len(new)))
             parts.append(new)
