@@ -68,7 +68,7 @@ def write_snapshot(df: DataFrame, store: TableStore, name: str, day: date | str
         # Brings each day's rows together in files of a good size; a large day is split.
         dated = df.hint("rebalance", "snapshot_date")
     else:
-        dated = df.withColumn("snapshot_date", F.lit(str(day)).cast("date"))
+        dated = df.withColumn("snapshot_date", F.lit(str(day)).cast("date")).hint("rebalance")
     (
         dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

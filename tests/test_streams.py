@@ -246,7 +246,7 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "videos",
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         "maxOffsetsPerTrigger": "1000",
     }
     assert Topic("videos", "b", {"startingOffsets": "latest"}).reader()[1]["startingOffsets"] == "latest"
