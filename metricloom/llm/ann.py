@@ -37,10 +37,12 @@ SEED = 7
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, v`` of the rows that take part; ``v`` is an array of doubles."""
-    v = F.col("embedding").cast("array<double>")
+    """``vec_id, v`` of the rows that take part. Vectors of floats are moved as such and become doubles where they
+    are multiplied; any other numbers are doubles from here on."""
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    v = F.col("embedding").cast(kind)
     clean = vectors.select("vec_id", v.alias("v")).where(
-        "vec_id is not null and v is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('inf')) and exists(v, x -> x <> 0)"
+        "vec_id is not null and v is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(double(x)) < double('inf')) and exists(v, x -> x <> 0)"
     )
     usual = clean.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).select("size")
     sizes = [r["size"] for r in usual.collect()]
@@ -103,11 +105,12 @@ def keyed(found: DataFrame, curves: int) -> DataFrame:
                 key = pa.array(hilbert_keys(cells, BITS))
                 yield pa.record_batch({"curve": pa.array([curve] * batch.num_rows, pa.int32()), "key": key, **{c: batch[c] for c in ("class_id", "ids", "v")}})
 
-    return found.select("class_id", "ids", "v").mapInArrow(run, "curve int, key bigint, class_id bigint, ids array<bigint>, v array<double>")
+    kind = dict(found.dtypes)["v"]
+    return found.select("class_id", "ids", "v").mapInArrow(run, f"curve int, key bigint, class_id bigint, ids array<bigint>, v {kind}")
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
 def blocked(rows: DataFrame) -> DataFrame:
@@ -235,7 +238,7 @@ def reachable(pending: DataFrame, balls: DataFrame) -> DataFrame:
     spread = pending.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     dealt = balls.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int"))
     score = F.aggregate(F.zip_with("v", "centre", lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x)
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda t, x: t + x * x))
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double")))
     most = score + F.col("radius") * length * (1 + 1e-9) + 1e-9
     both = spread.join(dealt, "part").where(F.col("bound").isNull() | (most >= F.col("bound")))
     return both.select("query", "v", "chunk", "name")
