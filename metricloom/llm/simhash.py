@@ -44,24 +44,30 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BITS = (np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1
 
 
-def fingerprint(text: str) -> int:
-    """64-bit SimHash over the word shingles of a text, repeats included."""
+def shingle_hashes(text: str, width: int) -> Iterator[np.ndarray]:
+    """Hashes of the word shingles of a text in pieces, repeats included; a text of fewer words is one shingle."""
     words = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    width = min(SHINGLE_WORDS, len(words))
+    width = min(width, len(words))
     first, last = starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros((8, 256), np.int64)
     for at in range(0, len(first), HASHES_AT_ONCE):
         pairs = zip(first[at : at + HASHES_AT_ONCE], last[at : at + HASHES_AT_ONCE], strict=True)
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in pairs], "<u8")
+        yield np.array([digest(joined[a:b], SEED) for a, b in pairs], "<u8")
+
+
+def fingerprint(text: str) -> int:
+    """64-bit SimHash over the word shingles of a text, repeats included."""
+    counts, n = np.zeros((8, 256), np.int64), 0
+    for hashes in shingle_hashes(text, SHINGLE_WORDS):
+        n += len(hashes)
         by_byte = hashes.view(np.uint8).reshape(-1, 8) + (np.arange(8) * 256)
         counts += np.bincount(by_byte.ravel(), minlength=2048).reshape(8, 256)
-    majority = (counts @ BITS).ravel() * 2 > len(first)
+    majority = (counts @ BITS).ravel() * 2 > n
     return int(np.packbits(majority, bitorder="little").view("<u8")[0])
 
 
@@ -198,14 +204,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return slim.join(members, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """One row of each component, that of the smallest ``doc_id``, with all columns of ``docs``."""
+def one_of_each(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """One row per ``root`` of ``rooted`` (``doc_id, text_hash, root``), that of the smallest ``doc_id``, with all columns of ``docs``."""
     order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col("text_hash").alias("h"))
-    kept = near_duplicates(docs).groupBy("root").agg(F.min(order).alias("k")).select("k.id", "k.h")
+    kept = rooted.groupBy("root").agg(F.min(order).alias("k")).select("k.id", "k.h")
     keyed = docs.withColumn("__hash", F.xxhash64(text_or_empty()))
     both = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["id"]) & (keyed["__hash"] == kept["h"]))
     return both.dropDuplicates(["doc_id", "__hash"]).select(*[keyed[c] for c in docs.columns])
 
 
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """One row of each component, that of the smallest ``doc_id``, with all columns of ``docs``."""
+    return one_of_each(docs, near_duplicates(docs))
+
+
 def fingerprint_hex() -> Column:
     return F.lpad(F.lower(F.hex("fp")), 16, "0")
