@@ -12,7 +12,6 @@ Defined results: a null or empty text has no spans. Repeated rows give repeated
 from __future__ import annotations
 
 import hashlib
-import operator
 import re
 import sys
 import unicodedata
@@ -92,7 +91,6 @@ DIGIT_WORDS = (
     "cero uno dos tres cuatro cinco seis siete ocho nueve",
 )
 DIGIT_OF = {word: str(d) for row in DIGIT_WORDS for d, word in enumerate(row.split())} | {"oh": "0"}
-DIGIT_SET = frozenset(DIGIT_OF)
 # Words for the signs, in the same languages.
 AT_WORDS = ("at", "ät", "arobase", "arroba", "@")
 DOT_WORDS = ("dot", "punkt", "point", "punto", ".")
@@ -184,20 +182,9 @@ class Finder:
         signs = any_of([*AT_WORDS, *DOT_WORDS])
         self.bracketed = re.compile(rf" ?[\[({{<] ?({signs}) ?[\])}}>] ?", re.IGNORECASE)
         self.spelled = re.compile(rf"(?<=[A-Za-z0-9]) ({any_of([*AT_WORDS[:-1], *DOT_WORDS[:-1]])}) (?=[A-Za-z0-9])|(?<=[A-Za-z0-9])[_-](at|dot)[_-](?=[A-Za-z0-9])", re.IGNORECASE)
-        self.marks = tuple(opening + first for opening in "[({<" for first in ("at", "ät", "ar", "@", ".", "do", "pu", "po", " "))
-        self.bare_marks = (*(f"{a}{w}{a}" for w in DOT_WORDS[:-1] for a in (" ", "_", "-")), *(f"{w}{a}{d}" for w in PLUS_WORDS for a in (" ", "-", "") for d in "0123456789("))
-
-    def disguised(self, text: str) -> bool:
-        """Whether anything in the text could be a disguise; a few fast looks at the whole text."""
-        lower = text.lower()
-        return (
-            any(mark in lower for mark in self.marks)
-            or any(mark in lower for mark in self.bare_marks)
-            or self.has_odd(text)
-            or self.has_spelled_digits(lower)
-        )
 
     def has_odd(self, text: str) -> bool:
+        """Whether the first transducer would rewrite anything."""
         if text.isascii():
             return False
         try:
@@ -206,18 +193,15 @@ class Finder:
             return not self.odd_letters.isdisjoint(text)
         return any(c in text for c in self.odd_latin)
 
-    def has_spelled_digits(self, lower: str) -> bool:
-        """Two words for digits in a row."""
-        words = lower.replace("-", " ").split()
-        if DIGIT_SET.isdisjoint(words):
-            return False
-        is_digit = list(map(DIGIT_SET.__contains__, words))
-        return any(map(operator.and_, is_digit, is_digit[1:]))
+    def digit_of(self, word: str) -> str:
+        # Patterns that ignore case take these two letters for "i", which lower() does not.
+        return DIGIT_OF[word.replace("İ", "i").replace("ı", "i").lower()]
 
     def normalised(self, text: str) -> Tape:
         tape = Tape(text)
-        tape.rewrite(self.odd, lambda m: self.table[ord(m[0])])
-        tape.rewrite(self.digits, lambda m: "".join(DIGIT_OF[w.lower()] for w in self.digit_word.findall(m[0])))
+        if self.has_odd(text):
+            tape.rewrite(self.odd, lambda m: self.table[ord(m[0])])
+        tape.rewrite(self.digits, lambda m: "".join(self.digit_of(w) for w in self.digit_word.findall(m[0])))
         tape.rewrite(self.plus, lambda m: "+")
         sign = lambda m: "@" if (m[1] or m[2]).lower() in AT_WORDS else "."
         tape.rewrite(self.bracketed, lambda m: "@" if m[1].lower() in AT_WORDS else ".")
@@ -249,7 +233,7 @@ class Finder:
     def spans(self, text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
         """Base spans and added spans by kind, each ascending."""
         base = {kind: list(detect(text)) for kind, detect in DETECTORS.items()}
-        return base, self.added(text, base) if self.disguised(text) else {kind: [] for kind in KINDS}
+        return base, self.added(text, base)
 
 
 def listed(spans: dict[str, list[Span]]) -> str:

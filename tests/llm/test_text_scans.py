@@ -70,6 +70,33 @@ def test_added_spans_leave_base_spans(finder):
     assert base["email"] == [(0, 7), (35, 42)] and not added["email"] and len(added["phone"]) == 1
 
 
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("card 4111 1111 1111 111 one", "card"),
+        ("host 192.168.one.1 is", "ip"),
+        ("call +1 five 5 five 1 two 3 four 5 ok", "phone"),
+        ("call (+)49 30 1234567 ok", "phone"),
+        ("call [+]49 30 1234567 ok", "phone"),
+        ("host 192.168.fıve.1 is", "ip"),
+    ],
+)
+def test_disguises_do_not_depend_on_other_text(finder, text, kind):
+    _, alone = finder.spans(text)
+    _, beside = finder.spans(text + "; a dot b")
+    assert alone[kind] and alone == beside
+
+
+PIECES = ["one", "Five", "siete", "4111", "1", "192.168", ".", "-", " ", "(+)", "[+]", "plus", "(", "at", "dot", " dot ", "[at]", "ab", "@", "e.com", "４"]
+
+
+@given(st.lists(st.sampled_from(PIECES), max_size=25).map("".join))
+@settings(max_examples=500, deadline=None)
+def test_spans_are_those_of_the_transducers(finder, text):
+    base, added = finder.spans(text)
+    assert added == finder.added(text, base)
+
+
 def test_pii_of_awkward_rows(awkward):
     for docs in (awkward, clashing(awkward), awkward.where("false")):
         rows = pii.span_digests(docs).collect()
