@@ -1,11 +1,12 @@
 """Secret scan: candidates from native expressions, false positives removed by a random forest.
 
-A candidate is a run of sixteen or more key letters with a digit in it, perhaps the value of an assignment.
+A candidate is a value of six or more letters, whatever they are, that is assigned to a telling name, or else a run
+of sixteen or more key letters with a digit in it, perhaps the value of another assignment.
 Its features are its length, character transitions, dictionary coverage, whether it looks like a path, and the
 words around it. A random forest over them tells secrets from hashes in passing, identifiers, numbers and paths.
 
 Findings are labelled by two kinds of plain evidence. Secret: the value has a provider's prefix, or it is
-assigned to a name like ``password`` or ``token``. No secret: it is all digits, a path or address, a placeholder, or
+assigned to a name like ``password`` or ``token`` and more than a word. No secret: it is all digits, a path or address, a placeholder, or
 stands after a word like ``commit`` or ``sha256``. Only labelled findings train the forest; the rest are scored by
 it. The evidence itself (prefix, name) is not among the features but for the name's closeness.
 
@@ -27,6 +28,7 @@ from metricloom.llm.common import text_or_empty
 from metricloom.session import materialize
 
 LEAST_LETTERS = 16
+LEAST_ASSIGNED = 6
 TREES = 20
 DEPTH = 6
 SEED = 42
@@ -35,7 +37,14 @@ AROUND = 40
 MAX_ROWS = 50_000
 
 KEY_LETTERS = r"[A-Za-z0-9+/=_.\-]"
-RUN = rf"(?={KEY_LETTERS}*[0-9]){KEY_LETTERS}{{{LEAST_LETTERS},}}"
+# Names that tell of a secret, without words that only begin like them.
+TELLING = r"(?i:pass(?!age|eng|ion|ive|port)|pwd|secret(?!ar)|token|api[_-]?key|access[_-]?key|auth(?!or)|credential)"
+TOLD = rf"{TELLING}[A-Za-z_\"']{{0,32}}\s{{0,8}}(?:=>|:=|=|:)\s{{0,8}}[\"'`]?"
+# A value goes on to a blank, a quote, or the next name of a query string; the signs that end a clause are not its last.
+VALUE = rf"(?:(?!&[A-Za-z_.\-]+=)[^\s\"'`]){{{LEAST_ASSIGNED - 1},}}[^\s\"'`.,;:)\]}}>&]"
+# A bare run ends where a telling name with a value begins. It is tried at its first letter only, as no later start fits better.
+BARE = rf"(?<!{KEY_LETTERS})(?=(?:(?!{TOLD}{VALUE})[A-Za-z+/=_.\-])*+(?!{TOLD}{VALUE})[0-9])(?:(?!{TOLD}{VALUE}){KEY_LETTERS}){{{LEAST_LETTERS},}}+"
+RUN = rf"{TOLD}{VALUE}|{BARE}"
 # Prefixes of providers' keys.
 PROVIDER = r"^(AKIA[A-Z0-9]{16}|ASIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})$"
 ASSIGNED = r"(?i)(pass(word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)[a-z_\"']*\s*(=|:|=>|:=)\s*[\"']?$"
@@ -44,7 +53,7 @@ PLACEHOLDER = r"(?i)(example|sample|changeme|placeholder|your[_-]|xxxx|0000|1234
 # Common beginnings and endings of words, whose share tells words from noise.
 DICTIONARY = "tion|ing|the|and|ent|ion|ter|ver|con|pro|com|ate|ment|able|http|www|html|ung|ich|que|ado|ción|user|name|file|data|test|index|page|image"
 
-NAME = r"^([A-Za-z_.\-]*=)([^=])"
+NAME = rf"^({TOLD}|[A-Za-z_.\-]*=(?!=))"
 
 FEATURES = [
     "length", "digit_share", "upper_share", "lower_share", "hex_share", "case_changes", "kind_changes", "distinct_share",
@@ -80,13 +89,16 @@ def candidates(docs: DataFrame) -> DataFrame:
 def split_assignment(found: DataFrame) -> DataFrame:
     """A run such as ``password=...`` is a name and a value; the name joins what stands before."""
     name = F.regexp_extract("value", NAME, 1)
-    return found.withColumns(
+    told = F.col("value").rlike(rf"^{TOLD}{VALUE}$")
+    split = found.withColumns(
         {
             "before": F.concat("before", name),
             "start": F.col("start") + F.length(name),
-            "value": F.regexp_replace("value", NAME, "$2"),
+            "value": F.regexp_replace("value", NAME, ""),
+            "told": told,
         }
-    ).where(F.length("value") >= LEAST_LETTERS)
+    )
+    return split.where(F.col("told") | (F.length("value") >= LEAST_LETTERS)).drop("told")
 
 
 def share(pattern: str) -> Column:
@@ -124,7 +136,8 @@ def described(found: DataFrame) -> DataFrame:
         "path_near": has(before, r"(/|\\|://)\S*$"),
         "words_before": F.regexp_count("before", F.lit(r"[A-Za-z]{2,}")).cast("double"),
     }
-    is_secret = value.rlike(PROVIDER) | before.rlike(ASSIGNED)
+    # A mere word after such a name may be prose: the forest judges it.
+    is_secret = value.rlike(PROVIDER) | (before.rlike(ASSIGNED) & value.rlike("[^A-Za-z.\\-]"))
     harmless = value.rlike(r"^[0-9.\-]+$") | value.rlike(r"^(/|\.{1,2}/|www\.|[a-z]+://)|\.(com|org|net|html?|py|js|png|jpg)\b") | value.rlike(PLACEHOLDER) | before.rlike(HARMLESS_BEFORE)
     label = F.when(harmless, 0.0).when(is_secret, 1.0)
     return found.withColumns({**{k: v.cast("double") for k, v in columns.items()}, "label": label})

@@ -119,6 +119,22 @@ def test_secret_spans_and_labels(documents):
         assert hashlib.sha256(texts[r.doc_id][r.start : r.end].encode()).hexdigest() == r.value_sha256
 
 
+def test_short_and_odd_values_of_telling_names(documents):
+    """Values under sixteen letters, with other signs, or without a digit are found whole, also inside of other runs."""
+    values = [
+        ("password=", "hunter2abc", " and"), ("pwd: ", "Tr0ub4dor3", ", then"), ("DB_PASSWORD = '", "s3cr!t@p#ss$w%rd", "'"), ("secret := ", "CorrectHorse!", "."),
+        ("my.app_token=", "abcdefgh", ""), ("a=1&password=", "p@ss!word", "&b=2"), ("id0123456789012345678/password=", "hunter2abc", " x"), ("é password: ", "pässwörd1", " x"),
+    ]
+    texts = [a + v + z for a, v, z in values] + ["commit 0123456789abcdef0123 was made", "the passenger: Johnson, author: Elizabeth"]
+    found = {(r.doc_id, r.start, r.end) for r in secret_scan.scan(documents(*enumerate(texts))).collect()}
+    assert {(i, len(a), len(a + v)) for i, (a, v, _) in enumerate(values)} <= found
+    assert not any(i == len(values) + 1 for i, _, _ in found)
+
+
+def test_long_runs_without_a_digit(documents):
+    assert secret_scan.scan(documents((1, "x" * 50_000), (2, "password=" + "y" * 50_000), (3, "pass" * 5_000))).count() == 1
+
+
 def test_secrets_without_anything_to_learn(documents, awkward):
     rows = secret_scan.scan(documents((1, f"x {KEY} y {KEY}"), (2, "q1w2e3r4t5y6u7i8o9p0"))).collect()
     assert sorted((r.doc_id, r.start, r.end, r.score) for r in rows) == [(1, 2, 22, 1.0), (1, 25, 45, 1.0), (2, 0, 20, 0.5)]
