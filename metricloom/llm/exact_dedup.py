@@ -4,8 +4,7 @@ Texts are equal when they are identical after each run of white space became one
 step inserts the texts of each input split into a trie of its own, so that a group of copies leaves a split
 as one row. These rows are dealt by length and content hash and inserted, as whole byte strings, into the
 partition's compressed radix trie, whose terminal nodes keep the smallest ``doc_id`` and the number of
-copies. Rows arrive in the order of their keys, so whenever a trie outgrows its bound, every subtree but the
-current one is complete and is written out.
+copies. A trie that outgrows its bound is written out whole and a new one is begun.
 
 Groups of more than ``HOT_COPIES`` rows are known from a count of the keys. They are dealt in ``SALTS``
 parts first, and the parts' owners meet in a second trie. All other texts are shuffled once.
