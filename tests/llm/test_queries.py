@@ -27,7 +27,7 @@ def test_query_gives_a_row_for_each_document(spark, name):
 def test_everything_is_registered():
     assert {*QUERIES, "pipeline"} <= queries().keys()
     assert SQL.keys() <= oracle_sql().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
 
 
 def test_pipeline_does_what_its_operators_say(spark):
