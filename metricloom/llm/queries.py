@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metricloom.llm import ann, bpe, exact_dedup, mixing, pii, prefix_counts, quality, resampling, secret_scan, simhash, token_files, toxicity
+from metricloom.llm import ann, bpe, divergence, exact_dedup, mixing, pii, prefix_counts, quality, resampling, secret_scan, simhash, token_files, toxicity
 from metricloom.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -67,5 +67,9 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_quality, op4_pii, op5_token_files, op6_toxicity, op7_exact_dedup, op8_ann, op9_mixing, op10_simhash, op11_token_counts, op12_resampling)}
-SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL, "op9_mixing": mixing.SQL, "op12_resampling": resampling.SQL}
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_quality, op4_pii, op5_token_files, op6_toxicity, op7_exact_dedup, op8_ann, op9_mixing, op10_simhash, op11_token_counts, op12_resampling, op13_divergence)}
+SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL, "op9_mixing": mixing.SQL, "op12_resampling": resampling.SQL, "op13_divergence": divergence.SQL}
