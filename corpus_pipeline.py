@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricloom.llm import bpe, exact_dedup, mixing, near_copies, toxicity
+from metricloom.llm import bpe, exact_dedup, mixing, simhash, toxicity
 from metricloom.llm.common import table
 from metricloom.llm.queries import VOCABULARY
 from metricloom.session import materialize
@@ -33,8 +33,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by pairs of similarity 0.8 or more the row with the smallest ``doc_id``."""
-    return near_copies.deduplicate(docs)
+    """Of each group linked by SimHash fingerprints, over three words and within three bits, the row with the smallest ``doc_id``."""
+    return simhash.deduplicate(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
