@@ -33,6 +33,7 @@ PROJECTED = 8
 BITS = 7
 BLOCK_ROWS = 4096
 QUERY_CHUNK = 1024
+PAIRS_AT_ONCE = 1 << 16
 SEED = 7
 
 
@@ -138,20 +139,27 @@ def best_in_blocks(neighbours: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
         queries, found = np.flatnonzero(is_query), np.flatnonzero(~is_query)
         if not len(queries) or not len(found):
             return None
-        out_query, out_class = [], []
-        some = min(neighbours + 2, len(found))
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        some, longest = min(neighbours + 2, len(found)), np.linalg.norm(v[found], axis=1).max()
         for start in range(0, len(queries), QUERY_CHUNK):
             part = queries[start : start + QUERY_CHUNK]
             scores = v[part] @ v[found].T
-            top = np.argpartition(-scores, some - 1, axis=1)[:, :some]
-            out_query.append(np.repeat(names[part], some))
-            out_class.append(found[top.ravel()])
-        chosen, asked = np.concatenate(out_class), np.concatenate(out_query)
-        row_of = dict(zip(names[queries].tolist(), queries.tolist(), strict=True))
-        of = v[[row_of[q] for q in asked.tolist()]]
-        # The same sum in the same order wherever a pair meets.
-        exact = (of * v[chosen]).sum(axis=1)
-        return pa.record_batch({"query": pa.array(asked), "class_id": pa.array(names[chosen]), "score": pa.array(exact)})
+            least = np.partition(scores, len(found) - some, axis=1)[:, len(found) - some]
+            # What a product may differ by from the sum below; whoever could reach the last place is looked at.
+            margin = 1e-13 * v.shape[1] * np.linalg.norm(v[part], axis=1) * longest
+            which, place = np.nonzero(scores >= (least - margin)[:, None])
+            # The same sum in the same order wherever a pair meets.
+            exact = np.concatenate(
+                [(v[part[which[i : i + PAIRS_AT_ONCE]]] * v[found[place[i : i + PAIRS_AT_ONCE]]]).sum(axis=1) for i in range(0, len(which), PAIRS_AT_ONCE)]
+            )
+            order = np.lexsort((names[found[place]], -exact, which))
+            which, place, exact = which[order], place[order], exact[order]
+            # Each query's best by score and class id.
+            rank = np.arange(len(which)) - np.searchsorted(which, which)
+            best_ones = rank < some
+            out.append((names[part[which[best_ones]]], names[found[place[best_ones]]], exact[best_ones]))
+        asked, chosen, exact = (np.concatenate(c) for c in zip(*out, strict=True))
+        return pa.record_batch({"query": pa.array(asked), "class_id": pa.array(chosen), "score": pa.array(exact)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -217,7 +225,7 @@ def nearest(vectors: DataFrame, queries_divide: int = 20, neighbours: int = NEIG
     pending = materialize(
         first.where("curve = 0").select("query", "v", "chunk", F.col("name").alias("home")).join(bounds, "query", "left"), "ann-pending"
     )
-    further = materialize(reachable(pending, balls), "ann-visits")
+    further = materialize(reachable(pending, balls, chunks), "ann-visits")
     by_bound = visit(further, home, neighbours)
     merged = by_window.unionByName(by_bound).distinct()
     # The best classes of each query class, expanded to ids for each of its query ids.
@@ -228,17 +236,17 @@ def nearest(vectors: DataFrame, queries_divide: int = 20, neighbours: int = NEIG
     return pairs.select("query_id", F.row_number().over(final).alias("rank"), "vec_id", "score").where(F.col("rank") <= neighbours)
 
 
-def reachable(pending: DataFrame, balls: DataFrame) -> DataFrame:
+def reachable(pending: DataFrame, balls: DataFrame, chunks: int) -> DataFrame:
     """The blocks that each pending query must still visit: those whose centre and radius allow a score of its bound.
 
-    The queries are a stated set and meet the blocks' summaries, one row per block, in batches: each task
-    holds its part of the summaries and goes through all of the query chunks.
+    The queries are a stated set and meet the blocks' summaries, one row per block: each chunk of queries meets each
+    of ``parts`` parts of the summaries in a group of its own, so the groups grow with the queries.
     """
     parts = 8
     spread = pending.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    dealt = balls.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int"))
+    dealt = balls.withColumns({"part": F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int"), "chunk": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint")))})
     score = F.aggregate(F.zip_with("v", "centre", lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x)
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double")))
     most = score + F.col("radius") * length * (1 + 1e-9) + 1e-9
-    both = spread.join(dealt, "part").where(F.col("bound").isNull() | (most >= F.col("bound")))
+    both = spread.join(dealt, ["part", "chunk"]).where(F.col("bound").isNull() | (most >= F.col("bound")))
     return both.select("query", "v", "chunk", "name")

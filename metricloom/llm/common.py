@@ -22,6 +22,17 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """The rows of ``docs`` as one column ``row`` beside the keys, so that no column of theirs can clash with another's;
+    ``select("row.*")`` gives them back."""
+    return docs.select(F.struct("*").alias("row"), *[column.alias(name) for name, column in keys.items()])
+
+
+def id_keys() -> dict[str, Column]:
+    """``doc_id`` in two keys without nulls, for joins that hold null ids equal."""
+    return {"id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0).cast("bigint")), "no_id": F.col("doc_id").isNull()}
+
+
 def map_arrow(
     df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict[str, object] | None], piece: int = 512
 ) -> DataFrame:

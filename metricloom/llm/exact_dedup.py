@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metricloom.llm.common import SPACES, text_or_empty
+from metricloom.llm.common import SPACES, id_keys, packed, text_or_empty
 from metricloom.session import materialize
 
 HOT_COPIES = 10_000
@@ -178,11 +178,12 @@ def text_groups(docs: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The kept rows of ``docs``, with all their columns."""
-    kept = text_groups(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("length").alias("__length"), F.col("hash").alias("__hash"))
+    keys = ["id", "no_id", *KEY]
+    kept = text_groups(docs).where("kept").select(*[c.alias(n) for n, c in id_keys().items()], *KEY)
     folded = F.regexp_replace(text_or_empty(), SPACES, " ")
-    keyed = docs.withColumns({"__len": F.octet_length(folded).cast("bigint"), "__h": F.xxhash64(folded)})
-    both = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__len"] == kept["__length"]) & (keyed["__h"] == kept["__hash"]))
-    return both.dropDuplicates(["doc_id", "__len", "__h"]).select(*[keyed[c] for c in docs.columns])
+    keyed = packed(docs, **id_keys(), length=F.octet_length(folded).cast("bigint"), hash=F.xxhash64(folded))
+    # The join leaves the rows dealt and sorted by the keys, so repeated rows go without another shuffle.
+    return keyed.join(kept, keys).dropDuplicates(keys).select("row.*")
 
 
 SQL = """

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricloom.llm.common import NOT_SPACES, text_or_empty
+from metricloom.llm.common import NOT_SPACES, id_keys, packed, text_or_empty
 from metricloom.session import materialize
 
 WEIGHTS = (1, 2, 3)
@@ -141,11 +141,12 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` themselves, each as often as the mix takes it."""
-    taken = mix(docs).where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("hash").alias("__taken"), F.col("copies").alias("__copies")).distinct()
-    keyed = docs.withColumn("__hash", document_hash())
-    both = keyed.join(taken, keyed["doc_id"].eqNullSafe(taken["__id"]) & (keyed["__hash"] == taken["__taken"]))
-    repeated = both.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
-    return repeated.select(*docs.columns)
+    # One document may stand in two sources that are taken differently often.
+    source = {"in_source": F.coalesce("source", F.lit("")), "no_source": F.col("source").isNull()}
+    keys = {**id_keys(), **source}
+    taken = mix(docs).where("copies > 0").select(*[c.alias(n) for n, c in keys.items()], "hash", "copies").distinct()
+    both = packed(docs, **keys, hash=document_hash()).join(taken, [*keys, "hash"])
+    return both.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select("row.*")
 
 
 SQL = """

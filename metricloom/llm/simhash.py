@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricloom.llm.common import map_arrow, text_or_empty
+from metricloom.llm.common import id_keys, map_arrow, packed, text_or_empty
 from metricloom.llm.graph import components
 from metricloom.session import materialize
 
@@ -206,11 +206,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame, rooted: DataFrame) -> DataFrame:
     """One row per ``root`` of ``rooted`` (``doc_id, text_hash, root``), that of the smallest ``doc_id``, with all columns of ``docs``."""
-    order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col("text_hash").alias("h"))
-    kept = rooted.groupBy("root").agg(F.min(order).alias("k")).select("k.id", "k.h")
-    keyed = docs.withColumn("__hash", F.xxhash64(text_or_empty()))
-    both = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["id"]) & (keyed["__hash"] == kept["h"]))
-    return both.dropDuplicates(["doc_id", "__hash"]).select(*[keyed[c] for c in docs.columns])
+    keys = ["no_id", "id", "text_hash"]
+    kept = rooted.groupBy("root").agg(F.min(F.struct(id_keys()["no_id"].alias("no_id"), id_keys()["id"].alias("id"), "text_hash")).alias("k")).select("k.*")
+    keyed = packed(docs, **id_keys(), text_hash=F.xxhash64(text_or_empty()))
+    return keyed.join(kept, keys).dropDuplicates(keys).select("row.*")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:

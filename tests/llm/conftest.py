@@ -28,4 +28,11 @@ def clashing(df):
     from pyspark.sql import functions as F
 
     names = ("hash", "length", "fp", "ids", "score", "label", "copies", "row", "size", "count", "id", "h", "k", "root", "key", "v", "x")
-    return df.withColumns({n: F.lit("clash") for n in names})
+    inner = ("__hash", "__h", "__len", "__length", "__copy", "__copies", "__id", "__taken", "__row", "__text", "no_id", "in_source", "no_source", "text_hash", "col")
+    return df.withColumns({n: F.lit("clash") for n in (*names, *inner)})
+
+
+def unchanged(df):
+    """Whether the rows still have the values that ``clashing`` gave them."""
+    extra = [c for c in clashing(df.limit(0)).columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+    return set(df.columns) >= set(extra) and all(r[c] == "clash" for r in df.collect() for c in extra)

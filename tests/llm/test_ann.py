@@ -56,6 +56,22 @@ def test_awkward_vectors(spark):
     assert ann.nearest(df.where("vec_id = 0")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["binary", "one-hot", "quantised"])
+def test_ties_go_to_the_smaller_id(spark, monkeypatch, kind):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 64)
+    rng = np.random.default_rng(9)
+    if kind == "one-hot":
+        v = np.eye(220)
+    elif kind == "binary":
+        v = np.array([[1.0, *(float(b) for b in f"{i:08b}")] for i in range(220)])
+        v[0, 1:] = 0
+    else:
+        v = rng.integers(-1, 2, (220, 6)) + np.array([3.0, 0, 0, 0, 0, 0])
+    rows = [(i * 5 if kind == "binary" else i, x.tolist()) for i, x in enumerate(v)]
+    rng.shuffle(rows)
+    check(spark.createDataFrame([(int(i), x, 0) for i, x in rows], SCHEMA), [(int(i), x) for i, x in rows])
+
+
 def test_hilbert_curve_goes_from_neighbour_to_neighbour():
     for d, bits in ((2, 4), (3, 3), (4, 2)):
         points = np.array(np.meshgrid(*[np.arange(1 << bits)] * d)).reshape(d, -1).T

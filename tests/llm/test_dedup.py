@@ -6,9 +6,9 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from metricloom.llm import exact_dedup, near_copies, simhash
+from metricloom.llm import exact_dedup, simhash
 from metricloom.llm.graph import components
-from tests.llm.conftest import clashing
+from tests.llm.conftest import clashing, unchanged
 
 
 def groups_by_force(rows):
@@ -29,6 +29,7 @@ def test_text_groups_of_awkward_rows(awkward):
         kept = exact_dedup.deduplicate(docs)
         assert kept.columns == docs.columns
         assert kept.count() == len(by_text)
+    assert unchanged(kept)
 
 
 def test_empty_table(awkward):
@@ -116,6 +117,7 @@ def test_near_duplicates_of_awkward_rows(awkward):
         kept = simhash.deduplicate(docs)
         assert kept.columns == docs.columns
         assert kept.count() == len({r.root for r in rows})
+    assert unchanged(kept)
 
 
 def test_components_of_a_long_path_and_a_star(spark):
@@ -125,50 +127,3 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert len(roots) == 602
     assert len({r.root for r in roots if r.node <= 300}) == 1
     assert len({r.root for r in roots}) == 2
-
-
-def shingle_set(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def near_by_force(texts):
-    sets, label = [shingle_set(t) for t in texts], list(range(len(texts)))
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if a == b or 5 * len(a & b) >= 4 * len(a | b):
-                old, new = label[i], label[j]
-                label = [new if x == old else x for x in label]
-    return {frozenset(i for i, x in enumerate(label) if x == y) for y in label}
-
-
-def test_near_copies_of_similarity_four_fifths(spark, documents):
-    """Edited copies some ten bits apart, chains of them and sets below the threshold, against all pairs by force."""
-    random = np.random.default_rng(3)
-    texts = ["", "one two", "One  two", "one two three"]
-    for _ in range(12):
-        words = [f"w{n}" for n in random.integers(0, 5000, 150)]
-        texts.append(" ".join(words))
-        for _ in range(8):
-            edited = list(words)
-            for place in random.choice(150, random.integers(1, 9), replace=False):
-                edited[place] = f"x{random.integers(0, 1 << 30)}"
-            texts.append(" ".join(edited))
-    expected = near_by_force(texts)
-    docs = documents(*enumerate(texts)).repartition(3)
-    for chunk in (256, 3):
-        groups = defaultdict(set)
-        for r in near_copies.near_copies(docs, chunk).collect():
-            groups[r.root].add(r.doc_id)
-        assert {frozenset(g) for g in groups.values()} == expected
-    import corpus_pipeline
-
-    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(map(min, expected))
-
-
-def test_near_copies_of_awkward_rows(awkward):
-    for docs in (awkward, clashing(awkward)):
-        assert near_copies.deduplicate(docs).columns == docs.columns
-        assert near_copies.deduplicate(docs).count() == 3
-    assert near_copies.deduplicate(awkward.where("false")).count() == 0

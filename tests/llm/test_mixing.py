@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from metricloom.llm import mixing
-from tests.llm.conftest import clashing
+from tests.llm.conftest import clashing, unchanged
 
 
 def targets_by_force(sizes):
@@ -43,6 +43,7 @@ def test_awkward_rows(awkward):
         assert mixed.columns == docs.columns
         words = F.coalesce(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0))
         assert mixed.agg(F.sum(words)).first()[0] == sum(r.taken for r in rows)
+    assert unchanged(mixed)
     assert mixing.mix(awkward.where("false")).count() == 0
     assert mixing.mixed_documents(awkward.where("false")).count() == 0
 
@@ -52,6 +53,14 @@ def test_a_source_without_words_takes_nothing(documents):
     assert {(r.source, r.target, r.taken) for r in rows} == {("a", 0.0, 0), ("b", 2.0, 2)}
 
 
+def test_one_document_in_two_sources_is_taken_by_each(documents):
+    docs = documents(*[(i, f"w{i} " * (i % 9 + 1), "AAAAAAAAAB"[i % 10]) for i in range(300)], (1000, "the same words here", "A"), (1000, "the same words here", "B"), (1001, "x y", None), (1001, "x y", ""))
+    rows = mixing.mix(docs).collect()
+    copies = sorted((r.doc_id, str(r.source)) for r in rows for _ in range(r.copies))
+    assert len({r.copies for r in rows if r.doc_id == 1000}) == 2
+    assert sorted((r.doc_id, str(r.source)) for r in mixing.mixed_documents(docs).collect()) == copies
+
+
 def test_plan_has_no_python(documents):
     plan = mixing.mix(documents((1, "x", "a")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
