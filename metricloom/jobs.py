@@ -30,6 +30,7 @@ from metricloom.session import job_session
 from metricloom.sources.landing import fanout_keys, land_by_key
 from metricloom.sources.tables import TableStore, read_table, write_table
 from metricloom.sources.topics import Topic
+from metricloom.streaming.compaction import TARGET_BYTES, compact, vacuum
 
 PASSWORD = "METRICLOOM_JDBC_PASSWORD"
 PREVIEWS = {"consume": preview_consume, "snapshot": preview_snapshot, "dated": preview_dated}
@@ -73,6 +74,13 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     fanout.add_argument("--target", required=True)
     tables(fanout)
 
+    packing = jobs.add_parser("compact", help="pack the batches of a table that a stream fills")
+    packing.add_argument("--table", required=True)
+    packing.add_argument("--target-mb", type=int, default=TARGET_BYTES >> 20, help="size of the packed files")
+    packing.add_argument("--partition-by", action="append", default=[], help="columns the table is partitioned by")
+    packing.add_argument("--keep", type=int, help="remove what the last so many versions do not need")
+    tables(packing)
+
     reports = jobs.add_parser("report", help="a table to a report table")
     reports.add_argument("name", choices=tuple(REPORTS))
     reports.add_argument("--table", required=True)
@@ -143,6 +151,11 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         land_by_key(keyed, args.landing, "folder", keyed["item"], "row_key")
     elif args.job == "fanout":
         write_table(fanout_keys(read_table(spark, store(args), args.table), args.key, args.parent), store(args), args.target, args.mode)
+    elif args.job == "compact":
+        path = store(args).path(args.table)
+        print(compact(spark, path, args.target_mb << 20, args.partition_by))
+        if args.keep is not None:
+            vacuum(spark, path, args.keep)
     elif args.job == "report":
         rows = report(args.name, read_table(spark, store(args), args.table), **pairs(args.column))
         write_table(rows, store(args), args.target, args.mode)

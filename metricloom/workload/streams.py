@@ -55,7 +55,7 @@ ADDED: dict[str, dict[str, str]] = {
 }
 
 
-def _topic(spark: SparkSession, label: str) -> Topic:
+def new_topic(spark: SparkSession, label: str) -> Topic:
     return Topic(scratch_path(spark, label))
 
 
@@ -70,7 +70,7 @@ def _consume(entity: str) -> Query:
     columns = tuple(received)
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        source, sink = _topic(spark, f"in-{entity}"), _topic(spark, f"out-{entity}")
+        source, sink = new_topic(spark, f"in-{entity}"), new_topic(spark, f"out-{entity}")
         back = {new: old for old, new in renames.items()}
         publish(BOUND[entity](spark, sf_dir).select(*columns).withColumnsRenamed(back), source)
         run_consume(spark, entity, source, sink, scratch_path(spark, "checkpoint"))
@@ -83,7 +83,7 @@ def _consume(entity: str) -> Query:
     return Query(run, sql)
 
 
-def _snapshot_types(entity: str) -> dict[str, str]:
+def snapshot_types(entity: str) -> dict[str, str]:
     becomes = {f.name: f.becomes for f in ITEM_FIELDS[entity]} | {"category": "string"}
     added = ADDED[entity] if entity != "videos" else {}
     return {"current_time": "timestamp"} | {c: becomes[c] for c in SNAPSHOT_COLUMNS[entity]} | added
@@ -91,11 +91,11 @@ def _snapshot_types(entity: str) -> dict[str, str]:
 
 def _snapshot(entity: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        source, sink = _topic(spark, f"in-{entity}"), _topic(spark, f"out-{entity}")
+        source, sink = new_topic(spark, f"in-{entity}"), new_topic(spark, f"out-{entity}")
         df = BOUND[entity](spark, sf_dir)
         publish(df.select(nested_item(df, entity).alias("item")).select("item.*"), source)
         run_snapshot(spark, entity, source, sink, scratch_path(spark, "checkpoint"), at=SNAPSHOT_TIME)
-        rows = _read_topic(spark, sink, _snapshot_types(entity))
+        rows = _read_topic(spark, sink, snapshot_types(entity))
         return show_times(rows.drop("key"), "published_at", "current_time")
 
     columns = columns_sql(entity, SNAPSHOT_COLUMNS[entity])
@@ -108,7 +108,7 @@ def _snapshot(entity: str) -> Query:
 
 def snapshot_table_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots of two days, from two runs, and the daily report over the table they fill."""
-    source, store = _topic(spark, "in-channels"), TableStore(scratch_path(spark, "store"))
+    source, store = new_topic(spark, "in-channels"), TableStore(scratch_path(spark, "store"))
     df = channels(spark, sf_dir)
     publish(df.select(nested_item(df, "channels").alias("item")).select("item.*"), source)
     for at in ("2024-01-02T03:04:05Z", "2024-01-03T23:59:59Z"):
@@ -122,7 +122,7 @@ def _dated(entity: str) -> Query:
     columns = list(message)
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        source, store = _topic(spark, f"in-{entity}"), TableStore(scratch_path(spark, "store"))
+        source, store = new_topic(spark, f"in-{entity}"), TableStore(scratch_path(spark, "store"))
         df = BOUND[entity](spark, sf_dir)
         if entity in ("playlists", "comments"):
             df = ENRICH[entity](df)
@@ -159,11 +159,11 @@ def throttled_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chained_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Channel items to a topic of snapshots, and that topic on to a table."""
-    source, between, store = _topic(spark, "in-channels"), _topic(spark, "snapshots"), TableStore(scratch_path(spark, "store"))
+    source, between, store = new_topic(spark, "in-channels"), new_topic(spark, "snapshots"), TableStore(scratch_path(spark, "store"))
     df = channels(spark, sf_dir)
     publish(df.select(nested_item(df, "channels").alias("item")).select("item.*"), source)
     run_snapshot(spark, "channels", source, between, scratch_path(spark, "checkpoint"), at=SNAPSHOT_TIME)
-    message = _snapshot_types("channels")
+    message = snapshot_types("channels")
     to_table = lambda sdf: stream_to_table(sdf, store, "channels", scratch_path(spark, "checkpoint"))
     run_stream(spark, between, lambda sdf: parse_flat(decode_value(sdf), message), to_table)
     return show_times(read_table(spark, store, "channels").drop("query_id", "batch_id"), "published_at", "current_time")

@@ -87,3 +87,13 @@ def test_land_cleanse_and_fan_out(spark, tmp_path):
     assert sorted(r.playlist_id for r in back.collect()) == ["p1", "p2", "p3"]
     main(["fanout", "--tables", f"{tmp_path}/tables", "--table", "back", "--key", "channel_id", "--target", "channel_ids"], spark)
     assert sorted(r.channel_id for r in spark.read.parquet(f"{tmp_path}/tables/channel_ids").collect()) == ["c1", "c2"]
+
+
+def test_compact_a_table_of_batches(spark, tmp_path, capsys):
+    from metricloom.streaming.compaction import read_compacted
+
+    for batch in range(3):
+        spark.range(batch, batch + 1).write.parquet(f"{tmp_path}/t/query_id=q/batch_id={batch}")
+    main(["compact", "--tables", str(tmp_path), "--table", "t", "--target-mb", "1", "--keep", "1"], spark)
+    assert "upto={'q': 1}" in capsys.readouterr().out
+    assert sorted(r.id for r in read_compacted(spark, f"{tmp_path}/t").collect()) == [0, 1, 2]
