@@ -24,7 +24,7 @@ MONTHS = (
     "December",
 )
 MISSING = "n/a"
-DURATION_PATTERN = r"^PT(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?$"
+DURATION_PATTERN = r"^PT(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?\z"
 
 _MS_PER_DAY = 86_400_000
 _US_PER_DAY = 86_400_000_000

@@ -41,6 +41,7 @@ PERIODS = [
 
 DURATIONS = [
     ("PT1H2M3S", 3723),
+    ("PT5M\n", None),
     ("PT1H3S", 3603),
     ("PT1H2M", 3720),
     ("PT1H", 3600),
