@@ -34,13 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from metricloom.llm.bpe import FIRST, LONGEST_KEPT, Automaton, load_automaton, plain_word
+from metricloom.llm.bpe import LONGEST_KEPT, Automaton, load_automaton, plain_word
 from metricloom.llm.common import Shared, map_arrow, text_or_empty
 
 LIMIT = 2048
 # Letters from here on may combine with those before them.
 SIMPLE_BELOW = 0x250
-BLANKS = str.maketrans("\n\r\t", "   ")
 # The first byte of a table: bytes per difference.
 NARROW, WIDE = b"\x01", b"\x04"
 
@@ -73,9 +72,9 @@ class Kept(dict[str, bytes]):
 class PrefixCounter:
     """Counts tokens of all prefixes by the tables of an automaton; ``room`` bounds the chunks and words remembered."""
 
-    UNSHIPPED = ("kept", "pieces", "library", "classes")
+    UNSHIPPED = ("kept", "pieces", "library", "classes", "labels")
 
-    def __init__(self, automaton: Automaton, definition: str, room: int = 300_000):
+    def __init__(self, automaton: Automaton, definition: str, room: int = 500_000):
         self.automaton, self.definition, self.room = automaton, definition, room
         self.ready()
 
@@ -83,6 +82,10 @@ class PrefixCounter:
         self.kept = Kept(self)
         self.pieces: dict[str, list[int]] = {}
         self.classes = simple_classes()
+        # By label the token inside a word and the one at its end, -1 for none; what begins no label is missing.
+        inside, ending = self.automaton.inner, self.automaton.final
+        begun = {label[:k] for label in (*inside, *ending) for k in range(1, len(label) + 1)}
+        self.labels = {b: (inside.get(b, -1), ending.get(b, -1)) for b in begun}
         self.library = Tokenizer.from_str(self.definition)
         self.library.no_truncation()
         self.library.no_padding()
@@ -98,7 +101,7 @@ class PrefixCounter:
         """The first byte tells the width; then one difference for each code point."""
         if len(self.kept) >= self.room:
             self.kept.clear()
-        chunks = text.translate(BLANKS).split(" ") if text else []
+        chunks = text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") if text else []
         try:
             return NARROW + b"\0".join(map(self.kept.__getitem__, chunks))
         except OverflowError:
@@ -172,24 +175,24 @@ class PrefixCounter:
         word ended there. A place has one last token, so every token that may follow fixes the place where it ends.
         """
         letters = word if word.isascii() and word.isprintable() else self.automaton.in_byte_letters(word)
-        automaton, n = self.automaton, len(letters)
-        inside, ending, arcs, reach = automaton.inner, automaton.final, automaton.arcs, automaton.reach
+        labels, arcs, has_arc, n = self.labels, self.automaton.arcs, self.automaton.has_arc, len(letters)
         last, inner, whole = [-1] * (n + 1), [0] * (n + 1), [0] * (n + 1)
         for p in range(n):
-            state, count = last[p], inner[p] + 1
-            for end in range(p + 1, min(n, p + reach.get(letters[p : p + FIRST], FIRST - 1)) + 1):
-                label = letters[p:end]
-                for token, ends in ((inside.get(label), False), (ending.get(label), True)):
-                    if token is None:
-                        continue
-                    if state >= 0:
-                        follows = arcs.get(state << 17 | token)
-                        if not (automaton.has_arc(state, token) if follows is None else follows):
-                            continue
-                    if ends:
+            state, count, end = last[p], inner[p] + 1, p
+            while end < n:
+                end += 1
+                found = labels.get(letters[p:end])
+                if found is None:
+                    break
+                inside, ending = found
+                if inside >= 0 and not inner[end]:
+                    follows = state < 0 or arcs.get(state << 17 | inside)
+                    if has_arc(state, inside) if follows is None else follows:
+                        last[end], inner[end] = inside, count
+                if ending >= 0 and not whole[end]:
+                    follows = state < 0 or arcs.get(state << 17 | ending)
+                    if has_arc(state, ending) if follows is None else follows:
                         whole[end] = count
-                    else:
-                        last[end], inner[end] = token, count
         if n != len(word):
             ends = np.cumsum([len(c.encode()) for c in word]).tolist()
             whole = [0, *(whole[e] for e in ends)]
