@@ -23,7 +23,9 @@ from metricloom.plans.cleanse import run_cleanse
 from metricloom.plans.consume import preview_consume, run_consume
 from metricloom.plans.dated import preview_dated, run_dated
 from metricloom.plans.enrich import ENRICH, run_enrich
-from metricloom.plans.reports import REPORTS, report
+from metricloom.plans.changes import update_changes
+from metricloom.plans.refresh import refreshed
+from metricloom.plans.reports import REPORTS, Change, report
 from metricloom.plans.snapshot import preview_snapshot, run_snapshot, run_snapshot_table
 from metricloom.schemas import ENTITIES
 from metricloom.session import job_session
@@ -74,6 +76,17 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     fanout.add_argument("--target", required=True)
     tables(fanout)
 
+    refreshing = jobs.add_parser("refresh", help="all report tables of an entity from one scan of its table")
+    refreshing.add_argument("entity", choices=ENTITIES)
+    refreshing.add_argument("--table")
+    tables(refreshing)
+
+    changes = jobs.add_parser("changes", help="daily sums and percent changes of the days that have new snapshots")
+    changes.add_argument("name", choices=tuple(n for n, r in REPORTS.items() if isinstance(r, Change)))
+    changes.add_argument("--table")
+    changes.add_argument("--day", action="append", required=True, help="a day whose snapshots are new, as 2024-01-31")
+    tables(changes)
+
     packing = jobs.add_parser("compact", help="pack the batches of a table that a stream fills")
     packing.add_argument("--table", required=True)
     packing.add_argument("--target-mb", type=int, default=TARGET_BYTES >> 20, help="size of the packed files")
@@ -151,6 +164,11 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         land_by_key(keyed, args.landing, "folder", keyed["item"], "row_key")
     elif args.job == "fanout":
         write_table(fanout_keys(read_table(spark, store(args), args.table), args.key, args.parent), store(args), args.target, args.mode)
+    elif args.job == "refresh":
+        for name, rows in refreshed(args.entity, read_table(spark, store(args), args.table or args.entity)).items():
+            write_table(rows, store(args), f"{args.entity}_{name}", args.mode)
+    elif args.job == "changes":
+        print(update_changes(spark, store(args), store(args), args.name, args.day, args.table))
     elif args.job == "compact":
         path = store(args).path(args.table)
         print(compact(spark, path, args.target_mb << 20, args.partition_by))

@@ -31,6 +31,10 @@ class Report:
         measures = [make().alias(name) for name, make in self.measures.items()]
         return df.groupBy(*self.groups).agg(*measures)
 
+    def finish(self, grouped: DataFrame) -> DataFrame:
+        """What is still to do with the grouped measures."""
+        return grouped
+
 
 @dataclass(frozen=True)
 class Listing(Report):
@@ -51,7 +55,9 @@ class Share(Report):
     percentages: tuple[str, ...] = ()
 
     def build(self, df: DataFrame) -> DataFrame:
-        grouped = materialize(super().build(df), "grouped")
+        return self.finish(materialize(super().build(df), "grouped"))
+
+    def finish(self, grouped: DataFrame) -> DataFrame:
         shares = []
         for name in self.percentages:
             total = grouped.agg(F.sum(name)).scalar()
