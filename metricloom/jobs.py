@@ -33,6 +33,7 @@ from metricloom.sources.landing import fanout_keys, land_by_key
 from metricloom.sources.tables import TableStore, read_table, write_table
 from metricloom.sources.topics import Topic
 from metricloom.streaming.compaction import TARGET_BYTES, compact, vacuum
+from metricloom.streaming.new_keys import stream_new_keys
 
 PASSWORD = "METRICLOOM_JDBC_PASSWORD"
 PREVIEWS = {"consume": preview_consume, "snapshot": preview_snapshot, "dated": preview_dated}
@@ -74,6 +75,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     fanout.add_argument("--key", required=True)
     fanout.add_argument("--parent", help="keys per value of this column")
     fanout.add_argument("--target", required=True)
+    fanout.add_argument("--checkpoint", help="only keys that no earlier run with this checkpoint gave out")
     tables(fanout)
 
     refreshing = jobs.add_parser("refresh", help="all report tables of an entity from one scan of its table")
@@ -162,6 +164,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         rows = read_table(spark, store(args), args.table or args.entity)
         keyed = rows.select(rows[args.key].alias("folder"), rows[args.order_by].alias("row_key"), nested_item(rows, args.entity).alias("item"))
         land_by_key(keyed, args.landing, "folder", keyed["item"], "row_key")
+    elif args.job == "fanout" and args.checkpoint is not None:
+        stream_new_keys(spark, store(args), args.table, args.key, args.target, args.checkpoint, args.parent)
     elif args.job == "fanout":
         write_table(fanout_keys(read_table(spark, store(args), args.table), args.key, args.parent), store(args), args.target, args.mode)
     elif args.job == "refresh":

@@ -25,6 +25,8 @@ JOB_CONF = {
     "spark.sql.files.openCostInBytes": "512k",
     # Pages are collected in object aggregates; past so many of them a task sorts and spills.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16",
+    # Keys that a stream remembers lie on the executors' disks.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

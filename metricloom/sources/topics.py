@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from metricloom.operators.envelope import to_json_value
 
 MESSAGE = "key string, value binary"
+# What tells one message from all others: the topic partition or file that holds it, and its place there.
+IDENTITY = ("message_source", "message_offset")
 
 
 @dataclass(frozen=True)
@@ -50,6 +52,16 @@ def read_stream(spark: SparkSession, topic: Topic) -> DataFrame:
     return reader.schema(MESSAGE).load(topic.name) if topic.is_folder else reader.load()
 
 
+def read_identified(spark: SparkSession, topic: Topic) -> DataFrame:
+    """A stream of ``key, value`` and the ``IDENTITY`` of each message, which is the same whenever a batch is read again."""
+    messages = read_stream(spark, topic)
+    if topic.is_folder:
+        source, offset = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    else:
+        source, offset = F.concat_ws("/", "topic", "partition"), F.col("offset")
+    return messages.select("key", "value", source.alias(IDENTITY[0]), offset.cast("bigint").alias(IDENTITY[1]))
+
+
 def read_topic(spark: SparkSession, topic: Topic) -> DataFrame:
     """All messages of a topic as they are now."""
     kind, options = topic.reader()

@@ -31,7 +31,7 @@ def start(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
     return query
 
 
-def _marked(batch: DataFrame, batch_id: int) -> DataFrame:
+def marked(batch: DataFrame, batch_id: int) -> DataFrame:
     """The batch with the query and batch it came from. The query id is kept in the
     checkpoint: it survives restarts, and a new checkpoint has another one."""
     query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -45,7 +45,7 @@ def folder_writer(path: str, partition_by: Sequence[str] = ()) -> Callable[[Data
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
-            _marked(batch, batch_id)
+            marked(batch, batch_id)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_by, "query_id", "batch_id")
@@ -80,7 +80,7 @@ def database_writer(store: TableStore, name: str) -> Callable[[DataFrame, int],
     again; its query and batch ids tell."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_table(_marked(batch, batch_id), store, name, mode="append")
+        write_table(marked(batch, batch_id), store, name, mode="append")
 
     return write
 

@@ -86,6 +86,8 @@ def test_land_cleanse_and_fan_out(spark, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/tables/back")
     assert sorted(r.playlist_id for r in back.collect()) == ["p1", "p2", "p3"]
     main(["fanout", "--tables", f"{tmp_path}/tables", "--table", "back", "--key", "channel_id", "--target", "channel_ids"], spark)
+    for _ in range(2):
+        main(["fanout", "--tables", f"{tmp_path}/tables", "--table", "back", "--key", "channel_id", "--target", "new_ids", "--checkpoint", f"{tmp_path}/fanout"], spark)
     assert sorted(r.channel_id for r in spark.read.parquet(f"{tmp_path}/tables/channel_ids").collect()) == ["c1", "c2"]
 
 
