@@ -12,7 +12,7 @@ class FuzzyLexicon:
 
     A state is the set of trie nodes that the letters so far can have reached, each with the fewest edits: the
     product of the trie with the Levenshtein automata of all entries at once. States are made when first
-    reached and kept, so a word then costs one look into a table per letter. ``kept`` bounds the number of
+    reached and kept with what they accept, so a word then costs one look into a table per letter. ``kept`` bounds the number of
     states; beyond it the tables start anew.
 
     Entries are ``(text, is_stem, edits)``, the last their bound. A stem is met as soon as a word begins with it.
@@ -48,15 +48,19 @@ class FuzzyLexicon:
         self.numbers: dict[tuple[tuple[int, int], ...], int] = {}
         self.places: list[tuple[tuple[int, int], ...]] = []
         self.moves: list[dict[str, int]] = []
+        # Entries with their edits that a state accepts: stems wherever it is met, whole words at a word's end.
+        self.stems: list[tuple[tuple[int, int], ...]] = []
+        self.wholes: list[tuple[tuple[int, int], ...]] = []
         self.state({ROOT: 0})
 
+    def accepted(self, places: Iterable[tuple[int, int]], at: list[int | None]) -> tuple[tuple[int, int], ...]:
+        return tuple((at[node], spent) for node, spent in places if at[node] is not None and spent <= self.entries[at[node]][2])
+
     def state(self, places: dict[int, int]) -> int:
         """The number of a state, closed under letters left out of the word."""
         stack = list(places.items())
         while stack:
             node, spent = stack.pop()
-            if node == ROOT:
-                continue
             for child in self.children[node].values():
                 if spent + 1 <= self.bound[child] and places.get(child, 9) > spent + 1:
                     places[child] = spent + 1
@@ -66,6 +70,8 @@ class FuzzyLexicon:
             self.numbers[key] = len(self.places)
             self.places.append(key)
             self.moves.append({})
+            self.stems.append(self.accepted(key, self.stem))
+            self.wholes.append(self.accepted(key, self.whole))
         return self.numbers[key]
 
     def step(self, state: int, letter: str) -> int:
@@ -76,42 +82,36 @@ class FuzzyLexicon:
                 places[node] = spent
 
         for node, spent in self.places[state]:
-            if node != ROOT:
-                reach(node, spent + 1)
+            reach(node, spent + 1)
             for label, child in self.children[node].items():
-                # The first letter of a word must be right: else far too much prose would come near.
-                if label == letter:
-                    reach(child, spent)
-                elif node != ROOT:
-                    reach(child, spent + 1)
+                reach(child, spent if label == letter else spent + 1)
         target = self.state(places)
         self.moves[state][letter] = target
         return target
 
-    def match(self, word: str) -> tuple[int, int] | None:
-        """The entry nearest to ``word`` and its edits; whole entries before stems, then the smaller number."""
+    def matches(self, word: str) -> dict[int, int]:
+        """All entries that ``word`` is within their bound of, with the fewest edits."""
         if len(self.places) > self.kept:
             self.begin()
-        state, found = ROOT, []
+        found: dict[int, int] = {}
+
+        def note(entries: tuple[tuple[int, int], ...]) -> None:
+            for entry, spent in entries:
+                if found.get(entry, 9) > spent:
+                    found[entry] = spent
+
+        state = ROOT
+        note(self.stems[state])
         for letter in word:
-            state = self.moves[state].get(letter, -1) if letter in self.moves[state] else self.step(state, letter)
+            target = self.moves[state].get(letter)
+            state = self.step(state, letter) if target is None else target
             if not self.places[state]:
-                break
-            for node, spent in self.places[state]:
-                stem = self.stem[node]
-                if stem is not None and spent <= self.entries[stem][2]:
-                    found.append((spent, 1, stem))
-        else:
-            for node, spent in self.places[state]:
-                whole = self.whole[node]
-                if whole is not None and spent <= self.entries[whole][2]:
-                    found.append((spent, 0, whole))
-        if not found:
-            return None
-        spent, _, entry = min(found)
-        return entry, spent
+                return found
+            note(self.stems[state])
+        note(self.wholes[state])
+        return found
 
 
 def edits(text: str) -> int:
-    """Edits allowed to an entry: none below five letters, two from ten."""
-    return 0 if len(text) < 5 else 1 if len(text) < 10 else 2
+    """Edits allowed to an entry: none below four letters, two from ten."""
+    return 0 if len(text) < 4 else 1 if len(text) < 10 else 2

@@ -1,7 +1,9 @@
 """Toxicity: misspelled lexicon terms, weighed by their context.
 
 The lexicon is learned: whole words and word beginnings that stand in toxic documents far more often than in
-others. Levenshtein automata intersected with the lexicon's trie find them in a text, misspelled too. A window
+others. Levenshtein automata intersected with the lexicon's trie find them in a text, misspelled too: every term of
+four letters or more has its edit bound, the first letter included. How much a misspelling tells is learned for each term and kind of
+edit from how often documents that are not toxic come as near by chance. A window
 of words around each hit tells abuse from quotation: quotation marks, verbs of saying and words about words
 speak for quoting, words that address somebody for abuse. A logistic regression over the weighted hits of
 each sort gives the score.
@@ -15,9 +17,10 @@ ones among what there is, 0 without any. Repeated rows give repeated results; ot
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,12 +35,10 @@ from metricloom.session import materialize
 
 MAX_ROWS = 20_000
 MAX_TERMS = 2_000
-# Only the best supported whole words are looked for misspelled; a chance term would meet too much prose.
-MAX_FUZZY = 200
-FUZZY_Z = 4.0
-FUZZY_RATIO = 5.0
-# What an edit leaves of a term's weight.
-EDIT_FACTOR = 0.3
+# The share of a term's uses that is taken to be disguised in one way; labels may hold no disguised use to learn it from.
+DISGUISED = 0.2
+# Kinds of hits: as written, one letter changed inside, the first letter changed, several letters changed.
+EXACT, INSIDE, FIRST, SEVERAL = range(4)
 LEAST_Z = 3.0
 LEAST_RATIO = 3.5
 STEMS = range(4, 8)
@@ -60,9 +61,10 @@ FEATURES = (*SORTS, "density", "length")
 
 
 def terms(text: str) -> set[tuple[str, bool]]:
-    """What a text could lend the lexicon: its words of three letters and more, and their beginnings."""
-    words = {w for w in WORD.findall(text.lower()) if 3 <= len(w) <= 40 and not w.isdigit()}
-    return {(w, False) for w in words} | {(w[:n], True) for w in words for n in STEMS if len(w) > n}
+    """What a text could lend the lexicon: its words of three letters and more, and their beginnings; of words
+    beyond forty letters the beginnings alone."""
+    words = {w for w in WORD.findall(text.lower()) if len(w) >= 3 and not w.isdigit()}
+    return {(w, False) for w in words if len(w) <= 40} | {(w[:n], True) for w in words for n in STEMS if len(w) > n}
 
 
 def term_counts(sample: DataFrame) -> DataFrame:
@@ -89,28 +91,39 @@ def term_counts(sample: DataFrame) -> DataFrame:
     return partial.groupBy("term", "is_stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
-def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool, float, bool]]:
-    """The at most ``MAX_TERMS`` terms whose log odds ratio stands furthest above its standard error, with that
-    ratio and whether misspellings count. A term is left out where a chosen one, shorter or longer, already covers its documents; whole words
-    and longer beginnings go first."""
-    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    if len(sizes) < 2:
-        return []
+@dataclass(frozen=True)
+class Term:
+    """A lexicon entry and the weights of its kinds of hits."""
+
+    text: str
+    is_stem: bool
+    weights: tuple[float, float, float, float]
+
+
+def hit_kind(word: str, term: str, spent: int) -> int:
+    if spent == 0:
+        return EXACT
+    return SEVERAL if spent > 1 else FIRST if word[0] != term[0] else INSIDE
+
+
+def chosen_terms(sample: DataFrame, sizes: dict[int, int]) -> list[tuple[str, bool, float, float, float]]:
+    """The at most ``MAX_TERMS`` terms whose log odds ratio stands furthest above its standard error: text, whether a stem, that
+    ratio, and the shares of toxic and of other documents that have it. A term is left out where a chosen one, shorter or longer,
+    already covers its documents; whole words and longer beginnings go first."""
     a, b = F.col("toxic") + 0.5, F.col("other") + 0.5
     ratio = F.log(a / (sizes[1] - F.col("toxic") + 0.5)) - F.log(b / (sizes[0] - F.col("other") + 0.5))
     rated = term_counts(sample).where("toxic > 1").withColumn("ratio", ratio).withColumn("z", F.round(F.col("ratio") / F.sqrt(1 / a + 1 / b), 2))
     order = (F.col("z").desc(), "is_stem", F.length("term").desc(), "term")
     clear = rated.where((F.col("z") >= LEAST_Z) & (F.col("ratio") >= LEAST_RATIO))
-    best = clear.orderBy(*order).limit(8 * MAX_TERMS).select("term", "is_stem", "ratio", "z", "toxic").collect()
-    chosen: list[tuple[str, bool, float, bool]] = []
+    best = clear.orderBy(*order).limit(8 * MAX_TERMS).select("term", "is_stem", "ratio", "toxic", "other").collect()
+    chosen: list[tuple[str, bool, float, float, float]] = []
     covered: dict[str, int] = {}
     stems: set[str] = set()
     for row in best:
         term, toxic = row["term"], row["toxic"]
         if len(chosen) == MAX_TERMS or any(term[:n] in stems for n in STEMS) or toxic < 1.1 * covered.get(term, 0):
             continue
-        fuzzy = not row["is_stem"] and row["z"] >= FUZZY_Z and row["ratio"] >= FUZZY_RATIO and sum(t[3] for t in chosen) < MAX_FUZZY
-        chosen.append((term, row["is_stem"], row["ratio"], fuzzy))
+        chosen.append((term, row["is_stem"], row["ratio"], toxic / sizes[1], row["other"] / sizes[0]))
         if row["is_stem"]:
             stems.add(term)
         for n in STEMS:
@@ -118,58 +131,108 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool, float, bool]]:
     return chosen
 
 
+def chance_counts(others: DataFrame, entries: list[tuple[str, bool, int]]) -> dict[tuple[int, int], int]:
+    """In how many of the documents that are not toxic each entry is met by each kind of edit."""
+    shared = Shared(others.sparkSession, entries)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon, known = FuzzyLexicon(shared.value), {}
+        for batch in batches:
+            counts: Counter = Counter()
+            for text in batch["text"].to_pylist():
+                met: set[tuple[int, int]] = set()
+                for word in set(WORD.findall(text.lower())):
+                    if word not in known:
+                        if len(known) > KEPT_WORDS:
+                            known.clear()
+                        near = lexicon.matches(word)
+                        known[word] = frozenset((e, hit_kind(word, entries[e][0], n)) for e, n in near.items() if n)
+                    met |= known[word]
+                counts.update(met)
+            yield pa.record_batch(
+                {
+                    "entry": pa.array([k[0] for k in counts], pa.int32()),
+                    "kind": pa.array([k[1] for k in counts], pa.int32()),
+                    "met": pa.array(list(counts.values()), pa.int64()),
+                }
+            )
+
+    partial = others.select("text").mapInArrow(count, "entry int, kind int, met bigint")
+    return {(r["entry"], r["kind"]): r["met"] for r in partial.groupBy("entry", "kind").agg(F.sum("met").alias("met")).collect()}
+
+
+def learn_lexicon(sample: DataFrame) -> list[Term]:
+    """The chosen terms with the weights of their hits. As written, a hit weighs the log odds ratio. A near hit weighs the log of how much
+    likelier it is in a toxic document, if ``DISGUISED`` of a term's uses look like that and chance brings as many more as it does to
+    documents that are not toxic: where prose often comes near a term, its misspellings weigh next to nothing."""
+    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    if len(sizes) < 2:
+        return []
+    chosen = chosen_terms(sample, sizes)
+    chance = chance_counts(sample.where("label = 0"), [(text, is_stem, edits(text)) for text, is_stem, *_ in chosen])
+    found = []
+    for number, (text, is_stem, ratio, toxic, other) in enumerate(chosen):
+        weights = [ratio]
+        for kind in (INSIDE, FIRST, SEVERAL):
+            by_chance = (chance.get((number, kind), 0) + 0.5) / (sizes[0] + 1)
+            near = math.log((by_chance + DISGUISED * toxic) / (by_chance + DISGUISED * other))
+            weights.append(min(max(near, 0.0), ratio))
+        found.append(Term(text, is_stem, tuple(weights)))
+    return found
+
+
 @dataclass
 class Describer:
     """Turns a text into its features; remembers which words hit."""
 
-    lexicon: list[tuple[str, bool, float, bool]]
+    lexicon: list[Term]
     fuzzy: FuzzyLexicon = field(init=False)
-    missed: set[str] = field(init=False, default_factory=set)
-    hits: dict[str, tuple[int, int]] = field(init=False, default_factory=dict)
+    # The weightiest entry that a word meets, and its weight; None for other words.
+    known: dict[str, tuple[int, float] | None] = field(init=False, default_factory=dict)
 
     def __post_init__(self) -> None:
-        self.fuzzy = FuzzyLexicon((text, is_stem, edits(text) if fuzzy else 0) for text, is_stem, _, fuzzy in self.lexicon)
+        self.fuzzy = FuzzyLexicon((t.text, t.is_stem, edits(t.text)) for t in self.lexicon)
 
     def __reduce__(self) -> tuple:
         return Describer, (self.lexicon,)
 
-    def hit_words(self, words: set[str]) -> set[str]:
-        new = words - self.missed
-        new.difference_update(self.hits)
-        if len(self.missed) > KEPT_WORDS:
-            self.missed = set()
-        for word in new:
-            found = self.fuzzy.match(word) if 3 <= len(word) <= 60 else None
-            if found:
-                self.hits[word] = found
-            else:
-                self.missed.add(word)
-        return words & self.hits.keys()
+    def hit(self, word: str) -> tuple[int, float] | None:
+        near = self.fuzzy.matches(word)
+        rated = [(self.lexicon[e].weights[hit_kind(word, self.lexicon[e].text, n)], -n, -e) for e, n in near.items()]
+        weight, _, entry = max(rated, default=(0.0, 0, 0))
+        return (-entry, weight) if weight > 0 else None
+
+    def hits(self, words: set[str]) -> dict[str, tuple[int, float]]:
+        if len(self.known) > KEPT_WORDS:
+            self.known = {}
+        for word in words - self.known.keys():
+            self.known[word] = self.hit(word)
+        return {word: self.known[word] for word in words if self.known[word] is not None}
 
     def features(self, text: str) -> list[float]:
-        words = WORD.findall(text.lower())
-        matched = self.hit_words(set(words))
+        low = text.lower()
+        words = WORD.findall(low)
+        hits = self.hits(set(words))
         sums = dict.fromkeys(SORTS, 0.0)
         count = 0.0
-        if matched:
-            for place, start, end in self.places(text, matched):
-                entry, spent = self.hits[words[place]]
-                _, is_stem, weight, _ = self.lexicon[entry]
+        if hits:
+            for place, start, end in self.places(low, hits.keys()):
+                entry, weight = hits[words[place]]
+                term = self.lexicon[entry]
                 near = words[max(0, place - WINDOW) : place + WINDOW + 1]
-                weight *= EDIT_FACTOR**spent
-                if self.quoted(text, start, end) or not SAYING.isdisjoint(near):
+                if self.quoted(low, start, end) or not SAYING.isdisjoint(near):
                     sums["quoted"] += weight
                     continue
-                count += EDIT_FACTOR**spent
-                sums["stem" if is_stem else "word"] += weight
+                count += weight / term.weights[EXACT]
+                sums["stem" if term.is_stem else "word"] += weight
                 if not ADDRESS.isdisjoint(near):
                     sums["addressed"] += weight
         return [*(float(np.log1p(v)) for v in sums.values()), float(np.log1p(1000 * count / max(len(words), 1))), float(np.log1p(len(words))) / 10]
 
     @staticmethod
-    def places(text: str, matched: set[str]) -> Iterator[tuple[int, int, int]]:
-        """Word number, start and end of each hit, in the lowered text."""
-        for place, match in enumerate(WORD.finditer(text.lower())):
+    def places(text: str, matched: Collection[str]) -> Iterator[tuple[int, int, int]]:
+        """Word number, start and end of each hit in a lowered text."""
+        for place, match in enumerate(WORD.finditer(text)):
             if match[0] in matched:
                 yield place, *match.span()
 

@@ -6,7 +6,8 @@ import pytest
 
 from metricloom.llm import quality, toxicity
 from metricloom.llm.common import table
-from metricloom.llm.fuzzy import FuzzyLexicon
+from metricloom.llm.fuzzy import FuzzyLexicon, edits
+from metricloom.llm.labelled import held_out
 from tests.llm.conftest import clashing
 
 SMALL = "/root/testdata/sf0.01"
@@ -60,26 +61,90 @@ def distance(a, b):
 def test_fuzzy_matches_are_those_by_force():
     rng = random.Random(5)
     word = lambda n: "".join(rng.choice("abc") for _ in range(n))
-    entries = list({(word(rng.randint(3, 7)), False): None for _ in range(30)})
-    lexicon = FuzzyLexicon([(t, s, 1 if len(t) > 4 else 0) for t, s in entries], kept=50)
-    for _ in range(3000):
-        w = word(rng.randint(1, 8))
-        near = sorted(distance(t, w) for t, _ in entries if t[0] == w[0] and distance(t, w) <= (1 if len(t) > 4 else 0) and distance(t[1:], w[1:]) <= (1 if len(t) > 4 else 0))
-        found = lexicon.match(w)
-        assert (found[1] if found else None) == (near[0] if near else None)
+    entries = list({(word(rng.randint(3, 11)), rng.random() < 0.3): None for _ in range(30)})
+    lexicon = FuzzyLexicon([(t, s, edits(t)) for t, s in entries], kept=50)
+    for _ in range(2000):
+        w = word(rng.randint(0, 13))
+        near = {}
+        for number, (term, is_stem) in enumerate(entries):
+            spent = min(distance(term, w[:n]) for n in range(len(w) + 1)) if is_stem else distance(term, w)
+            if spent <= edits(term):
+                near[number] = spent
+        assert lexicon.matches(w) == near
+
+
+WEIGHTS = (7.0, 4.0, 3.0, 2.0)
 
 
 def test_stems_and_context():
-    describer = toxicity.Describer([("moron", False, 7.0, True), ("lowei", True, 6.0, False)])
+    describer = toxicity.Describer([toxicity.Term("moron", False, WEIGHTS), toxicity.Term("lowei", True, WEIGHTS), toxicity.Term("nearby", False, (5.0, 0.0, 0.0, 0.0))])
     place = dict(zip(toxicity.FEATURES, range(len(toxicity.FEATURES)), strict=True))
     at = lambda text, name: describer.features(text)[place[name]]
-    assert at("so ein loweichen da", "stem") > 0
-    assert at("what a morron", "word") > 0 and at("what a morron", "word") < at("what a moron", "word")
+    assert at("so ein loweichen da", "stem") > at("so ein lxweichen da", "stem") > 0
+    assert at("what a moron", "word") > at("what a morron", "word") > at("what a 0oron", "word") > 0
     assert at('he wrote "moron" there', "quoted") > 0 and at('he wrote "moron" there', "word") == 0
+    assert at("he wrote morron there", "quoted") > 0 and at("he wrote morron there", "word") == 0
     assert at("you moron", "addressed") > 0
+    assert at("he is nearb", "word") == 0 < at("he is nearby", "word")
     assert not any(describer.features("")[:-1])
 
 
+def test_quotation_marks_are_sought_where_the_hit_is():
+    describer = toxicity.Describer([toxicity.Term("moron", False, WEIGHTS)])
+    quoted = toxicity.FEATURES.index("quoted")
+    # The capital I with a dot has two letters when lowered.
+    assert describer.features("\u0130" * 30 + ' "moron" here')[quoted] > 0
+    assert describer.features('"' + "\u0130" * 20 + '" moron here "x"')[quoted] == 0
+
+
+def test_what_is_remembered_is_bounded(monkeypatch):
+    monkeypatch.setattr(toxicity, "KEPT_WORDS", 50)
+    describer = toxicity.Describer([toxicity.Term("moron", False, WEIGHTS)])
+    for i in range(40):
+        describer.features(" ".join(f"mor{i}n{j}" for j in range(10)) + " moron morons")
+        assert len(describer.known) <= 50 + 12
+
+
+def test_misspelled_and_quoted_terms_of_held_out_documents(spark):
+    """Every word that hits as written is changed by one letter, or put in quotation marks, in the toxic documents that are found as
+    written. Of those with clear insults at least 0.8 are still found; of all, where the lexicon also has mere beginnings that prose comes near, 0.6."""
+    docs, known = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
+    describer, model = toxicity.train(docs.select("doc_id", "text"), known)
+    rng = random.Random(1)
+
+    def toxic(text):
+        return float(np.dot(describer.features(text), model[:-1]) + model[-1]) >= 0
+
+    def entries(word):
+        return [describer.lexicon[e] for e, spent in describer.fuzzy.matches(word.lower()).items() if spent == 0]
+
+    def clear(text):
+        return any(not t.is_stem and t.weights[0] > 5 for w in toxicity.WORD.findall(text) for t in entries(w))
+
+    def changed(text, how):
+        def one(match):
+            word, met = match[0], entries(match[0])
+            if not met:
+                return word
+            if how == "quoted":
+                return f'"{word}"'
+            i = 0 if how == "first" else rng.randrange(1, min(len(t.text) for t in met))
+            return rng.choice([word[:i] + "0" + word[i + 1 :], word[:i] + "q" + word[i + 1 :], word[:i] + "x" + word[i:], word[:i] + word[i + 1 :]])
+
+        return toxicity.WORD.sub(one, text)
+
+    rows = docs.join(known, "doc_id").where(held_out()).select("text", "toxic").collect()
+    found = [r.text for r in rows if r.toxic and toxic(r.text)]
+    insults = [text for text in found if clear(text)]
+    assert len(found) > 0.85 * sum(r.toxic for r in rows) and len(insults) > 0.5 * len(found)
+    for how in ("inside", "first"):
+        assert sum(toxic(changed(text, how)) for text in insults) >= 0.8 * len(insults)
+        assert sum(toxic(changed(text, how)) for text in found) >= 0.6 * len(found)
+    assert sum(toxic(changed(text, "quoted")) for text in found) < 0.2 * len(found)
+    others = [r.text for r in rows if not r.toxic]
+    assert sum(map(toxic, others)) < 0.02 * len(others)
+
+
 def test_logistic_regression_finds_the_rule():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((2000, 3))
