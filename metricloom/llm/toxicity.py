@@ -205,9 +205,13 @@ class Describer:
     def hits(self, words: set[str]) -> dict[str, tuple[int, float]]:
         if len(self.known) > KEPT_WORDS:
             self.known = {}
-        for word in words - self.known.keys():
-            self.known[word] = self.hit(word)
-        return {word: self.known[word] for word in words if self.known[word] is not None}
+        found = {}
+        for word in words:
+            if word not in self.known:
+                self.known[word] = self.hit(word)
+            if self.known[word] is not None:
+                found[word] = self.known[word]
+        return found
 
     def features(self, text: str) -> list[float]:
         low = text.lower()
