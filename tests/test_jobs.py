@@ -89,6 +89,7 @@ def test_land_cleanse_and_fan_out(spark, tmp_path):
     for _ in range(2):
         main(["fanout", "--tables", f"{tmp_path}/tables", "--table", "back", "--key", "channel_id", "--target", "new_ids", "--checkpoint", f"{tmp_path}/fanout"], spark)
     assert sorted(r.channel_id for r in spark.read.parquet(f"{tmp_path}/tables/channel_ids").collect()) == ["c1", "c2"]
+    assert sorted(r.channel_id for r in spark.read.parquet(f"{tmp_path}/tables/new_ids").collect()) == ["c1", "c2"]
 
 
 def test_compact_a_table_of_batches(spark, tmp_path, capsys):
