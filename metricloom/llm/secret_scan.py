@@ -8,7 +8,12 @@ words around it. A random forest over them tells secrets from hashes in passing,
 Findings are labelled by two kinds of plain evidence. Secret: the value has a provider's prefix, or it is
 assigned to a name like ``password`` or ``token`` and more than a word. No secret: it is all digits, a path or address, a placeholder, or
 stands after a word like ``commit`` or ``sha256``. Only labelled findings train the forest; the rest are scored by
-it. The evidence itself (prefix, name) is not among the features but for the name's closeness.
+it. Each trains it twice, once as it stands and once with what stands before it hidden, so that the forest learns to judge
+by the value alone where no name tells.
+
+The dictionary is the corpus' own: words that stand by themselves, without digits, ``LEAST_USES`` times and once in every
+``DOCS_PER_USE`` documents, counted over all texts. Coverage is the share of a value's letters in such words; a value is cut into
+words where the case changes and at whatever is no letter.
 
 All of it is DataFrame expressions and the JVM's forest; no Python runs in tasks.
 
@@ -50,8 +55,13 @@ PROVIDER = r"^(AKIA[A-Z0-9]{16}|ASIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|xox[
 ASSIGNED = r"(?i)(pass(word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)[a-z_\"']*\s*(=|:|=>|:=)\s*[\"']?$"
 HARMLESS_BEFORE = r"(?i)(commit|revision|sha-?1|sha-?256|md5|checksum|digest|hash|uuid|version)[\s:=\"']*$"
 PLACEHOLDER = r"(?i)(example|sample|changeme|placeholder|your[_-]|xxxx|0000|1234567|abcdef)"
-# Common beginnings and endings of words, whose share tells words from noise.
-DICTIONARY = "tion|ing|the|and|ent|ion|ter|ver|con|pro|com|ate|ment|able|http|www|html|ung|ich|que|ado|ción|user|name|file|data|test|index|page|image"
+# A word of a value: lower case, perhaps after one capital, or capitals alone.
+PIECE = r"\p{Lu}?\p{Ll}{2,}|\p{Lu}{3,}"
+WORD = r"^\p{L}{3,20}$"
+LEAST_USES = 5
+DOCS_PER_USE = 1000
+# Findings of one value are dealt into so many parts where coverage is joined to them.
+SALTS = 16
 
 NAME = rf"^({TOLD}|[A-Za-z_.\-]*=(?!=))"
 
@@ -60,6 +70,8 @@ FEATURES = [
     "longest_same", "dictionary_share", "vowel_share", "slashes", "dots", "separators", "assigned_near", "quoted", "key_word_near",
     "hash_word_near", "path_near", "words_before",
 ]
+# What tells of the text before a value.
+NEAR = ["assigned_near", "quoted", "key_word_near", "hash_word_near", "path_near", "words_before"]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -101,6 +113,20 @@ def split_assignment(found: DataFrame) -> DataFrame:
     return split.where(F.col("told") | (F.length("value") >= LEAST_LETTERS)).drop("told")
 
 
+def with_coverage(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """Candidates with ``dictionary_share``. Texts are counted in tasks before the shuffle; of all words only those of candidates go on."""
+    values = materialize(found.select("value").distinct(), "secret-values")
+    pieces = values.select("value", F.explode(F.regexp_extract_all("value", F.lit(PIECE), F.lit(0))).alias("piece")).select("value", F.lower("piece").alias("word"))
+    uses = docs.select(F.explode(F.split(F.lower(text_or_empty()), r"[^\p{L}\p{N}]+")).alias("word")).where(F.col("word").rlike(WORD)).groupBy("word").count()
+    common = uses.where((F.col("count") >= LEAST_USES) & (F.col("count") * DOCS_PER_USE >= docs.count())).select("word")
+    dictionary = materialize(common.join(pieces.select("word").distinct(), "word", "left_semi"), "secret-dictionary")
+    covered = pieces.join(dictionary, "word").groupBy("value").agg(F.sum(F.length("word")).alias("covered"))
+    dealt = covered.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)).cast("int"))
+    share = F.coalesce(F.col("covered") / F.length("value"), F.lit(0.0))
+    return salted.join(dealt, ["value", "salt"], "left").withColumn("dictionary_share", share).drop("salt", "covered")
+
+
 def share(pattern: str) -> Column:
     return (F.length("value") - F.length(F.regexp_replace("value", pattern, ""))) / F.length("value")
 
@@ -124,7 +150,6 @@ def described(found: DataFrame) -> DataFrame:
         "kind_changes": all_changes / F.length("value"),
         "distinct_share": F.size(F.array_distinct(letters)) / F.least(F.length("value"), F.lit(36)),
         "longest_same": F.array_max(F.transform(same, F.length)).cast("double"),
-        "dictionary_share": share(f"(?i)({DICTIONARY})"),
         "vowel_share": share("[aeiouAEIOU]"),
         "slashes": share("/"),
         "dots": share(r"\."),
@@ -143,12 +168,18 @@ def described(found: DataFrame) -> DataFrame:
     return found.withColumns({**{k: v.cast("double") for k, v in columns.items()}, "label": label})
 
 
+def hidden(sample: DataFrame) -> DataFrame:
+    """Labelled findings as if nothing stood before their values."""
+    return sample.withColumns({name: F.lit(0.0) for name in NEAR})
+
+
 def scan(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``doc_id, start, end, value_sha256, known, score, is_secret`` for every candidate.
 
     ``known`` is the label by plain evidence, null without any. The values themselves are not passed on.
     """
-    found = materialize(described(split_assignment(candidates(docs))), "secret-candidates")
+    values = materialize(split_assignment(candidates(docs)), "secret-values-found")
+    found = materialize(described(with_coverage(values, docs)), "secret-candidates")
     order = (F.xxhash64("value", "before"), "doc_id", "start")
     sample = found.where("label = 0").orderBy(*order).limit(MAX_ROWS).unionByName(found.where("label = 1").orderBy(*order).limit(MAX_ROWS))
     sample = materialize(sample.select("label", *FEATURES), "secret-sample")
@@ -158,6 +189,6 @@ def scan(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     else:
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
         forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label")
-        model = forest.fit(vectors.transform(sample))
+        model = forest.fit(vectors.transform(sample.unionByName(hidden(sample))))
         scored = model.transform(vectors.transform(found)).select(*place, vector_to_array("probability")[1].alias("score"))
     return scored.withColumn("is_secret", F.col("score") >= threshold)

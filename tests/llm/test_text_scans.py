@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -140,3 +141,49 @@ def test_secrets_without_anything_to_learn(documents, awkward):
     assert sorted((r.doc_id, r.start, r.end, r.score) for r in rows) == [(1, 2, 22, 1.0), (1, 25, 45, 1.0), (2, 0, 20, 0.5)]
     for docs in (awkward, clashing(awkward), awkward.where("false")):
         assert secret_scan.scan(docs).count() == 0
+
+
+WORDS = "river market window garden silver planet letter bridge summer winter forest castle number record button filter".split()
+
+
+def noise(i: int, letters: str, length: int) -> str:
+    rest, out = int(hashlib.sha512(str(i).encode()).hexdigest(), 16), ""
+    for _ in range(length):
+        rest, n = divmod(rest, len(letters))
+        out += letters[n]
+    return out + "7"
+
+
+def test_findings_without_evidence_are_judged_by_their_value(documents):
+    """The forest learns from findings with a telling name and says of others, where no rule has an answer, what they are."""
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    prose = " ".join(WORDS)
+    word = [WORDS[i % 16].title() + WORDS[i * 7 % 15].title() + WORDS[i * 3 % 13].title() + str(i % 10) for i in range(120)]
+    train = [f"{prose} api_key={noise(i, mixed, 20 + i % 16)} {prose}" for i in range(80)] + [f"{prose} see uuid: {word[i]} {prose}" for i in range(80)]
+    train += [f"{prose} in /usr/share/{word[i].lower()}/file.py {prose}" for i in range(40)]
+    asked = [(f"{prose} then {noise(1000 + i, mixed, 18 + i % 20)} {prose}", True) for i in range(60)] + [(f"{prose} then {word[60 + i]}x {prose}", False) for i in range(60)]
+    rows = secret_scan.scan(documents(*enumerate(train), *[(1000 + n, text) for n, (text, _) in enumerate(asked)])).collect()
+    judged = [r for r in rows if r.doc_id >= 1000]
+    assert len(judged) == len(asked) and all(r.known is None for r in judged)
+    said = {r.doc_id for r in judged if r.is_secret}
+    right = {1000 + n for n, (_, secret) in enumerate(asked) if secret}
+    assert len(said & right) >= 0.95 * len(right) and len(said & right) >= 0.95 * len(said)
+
+
+def test_coverage_by_words_of_the_corpus(documents):
+    """Against a plain count: words that stand alone often enough, and pieces of values cut by case."""
+    texts = ["garden river Größe"] * 6 + ["castle"] * 4 + ["password=GardenRiver1 x", "password=größe-castle_1 x", "password=x9_GARDENzz1 x", "password=q1w2e3 x"]
+    docs = documents(*enumerate(texts), (99, None))
+    found = secret_scan.with_coverage(secret_scan.split_assignment(secret_scan.candidates(docs)), docs)
+    uses = Counter(w for text in texts for w in re.split(r"[\W_]+", text.lower()) if w.isalpha() and 3 <= len(w) <= 20)
+    assert uses["garden"] == 6 and uses["castle"] == 5 and uses["gardenriver1"] == 0  # a word within a value counts if it stands alone there
+    dictionary = {w for w, n in uses.items() if n >= secret_scan.LEAST_USES}
+    pieces = {"GardenRiver1": ["garden", "river"], "größe-castle_1": ["größe", "castle"], "x9_GARDENzz1": ["garden", "zz"], "q1w2e3": []}
+    expected = {value: sum(len(p) for p in cut if p in dictionary) / len(value) for value, cut in pieces.items()}
+    assert {r.value: r.dictionary_share for r in found.collect()} == expected
+
+
+def test_values_shared_by_many_findings_keep_every_row(documents):
+    docs = documents(*[(i % 50, f"garden password=garden-{i % 3} x") for i in range(300)], *[(None, "garden password=garden-1 x")] * 4)
+    found = secret_scan.scan(docs).collect()
+    assert len(found) == 304 and sum(r.doc_id is None for r in found) == 4
