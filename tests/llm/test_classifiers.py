@@ -150,3 +150,23 @@ def test_logistic_regression_finds_the_rule():
     x = rng.standard_normal((2000, 3))
     beta = toxicity.fit_logistic(x, (x[:, 0] - 0.5 * x[:, 1] > 0.2).astype(float))
     assert beta[0] > 1 and beta[1] < -0.5 and abs(beta[2]) < 0.2 and beta[3] < 0
+
+
+def test_discriminant_against_plain_densities(spark):
+    """Means, shrunk covariances, determinants and inverses written out, without moments over Spark or Cholesky factors."""
+    random = np.random.default_rng(5)
+    shapes = {k: random.normal(size=(quality.WIDTH, quality.WIDTH)) for k in (0, 1)}
+    rows = {k: random.normal(size=(n, quality.WIDTH)) @ shapes[k] + 2 * k for k, n in ((0, 150), (1, 90))}
+    labelled = spark.createDataFrame([(k, x.tolist()) for k in rows for x in rows[k]], "label int, x array<double>").repartition(5)
+    covariance = {k: np.cov(rows[k], rowvar=False, bias=True) for k in rows}
+    pooled = (150 * covariance[0] + 90 * covariance[1]) / 240
+    asked = random.normal(size=(40, quality.WIDTH)) * 3
+    density = {}
+    for k in rows:
+        c = covariance[k] * (1 - quality.SHRINK_TO_POOLED) + pooled * quality.SHRINK_TO_POOLED
+        c = c * (1 - quality.SHRINK_TO_DIAGONAL) + np.diag(np.diag(c)) * quality.SHRINK_TO_DIAGONAL + quality.RIDGE * np.eye(quality.WIDTH)
+        away = asked - rows[k].mean(axis=0)
+        density[k] = np.array([-0.5 * a @ np.linalg.inv(c) @ a for a in away]) - 0.5 * np.linalg.slogdet(c)[1]
+    odds = (density[1] - density[0]) / quality.TEMPERATURE + np.log(90 / 150)
+    expected = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+    assert np.allclose(quality.fit(labelled).scores(asked), expected, atol=1e-9)
