@@ -67,7 +67,7 @@ def _read_topic(spark: SparkSession, topic: Topic, columns: dict[str, str]) -> D
 def _consume(entity: str) -> Query:
     message, renames = CONSUMER_MESSAGES[entity], CONSUMER_RENAMES.get(entity, {})
     received = {renames.get(c, c): kind for c, kind in message.items()}
-    columns = tuple(received)
+    columns, by_time = tuple(received), MESSAGE_KEYS[entity] == "published_at"
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         source, sink = new_topic(spark, f"in-{entity}"), new_topic(spark, f"out-{entity}")
@@ -75,11 +75,14 @@ def _consume(entity: str) -> Query:
         publish(BOUND[entity](spark, sf_dir).select(*columns).withColumnsRenamed(back), source)
         run_consume(spark, entity, source, sink, scratch_path(spark, "checkpoint"))
         rows = _read_topic(spark, sink, received | ADDED[entity])
-        keyed = rows.withColumn("key_is_right", F.col("key") == F.col(MESSAGE_KEYS[entity]).cast("string")).drop("key")
+        text = F.col("key").cast("string")
+        # The text of a time follows the session's zone, so it is shown as the instant that it names there.
+        keyed = rows.withColumn("message_key", F.unix_millis(text.cast("timestamp")) if by_time else text).drop("key")
         return show_times(keyed) if "published_at" in columns else keyed
 
     extra = f", {LENGTHS_SQL[entity]}" if entity in ENRICH else ""
-    sql = f"SELECT {columns_sql(entity, columns)}{extra}, true AS key_is_right FROM ({BOUND_SQL[entity]}) AS bound"
+    key = f"{'epoch_ms' if by_time else ''}({MESSAGE_KEYS[entity]}) AS message_key"
+    sql = f"SELECT {columns_sql(entity, columns)}{extra}, {key} FROM ({BOUND_SQL[entity]}) AS bound"
     return Query(run, sql)
 
 
