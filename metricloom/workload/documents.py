@@ -67,8 +67,10 @@ def nested_json_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The real JSON of all events, unaltered but for the key in front."""
-    messages = table(spark, sf_dir, "events").select(_event_body().alias("value"))
+    """The real JSON of all events, unaltered but for the key in front, next to the messages
+    of all events of which four in ten are broken, wrongly typed, empty or missing."""
+    real = table(spark, sf_dir, "events").select(_event_body().alias("value"))
+    messages = real.unionByName(event_messages(spark, sf_dir).select("value"))
     read = parse_flat(messages, EVENT_MESSAGE)
     return read.select(F.col("event_id").cast("double").alias("event_id"), F.col("k").cast("double").alias("k"))
 
@@ -171,7 +173,11 @@ QUERIES: dict[str, Query] = {
     ),
     "flat_json_events": Query(
         flat_json_events,
-        "SELECT CAST(event_id AS DOUBLE) AS event_id, CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS k FROM events",
+        """SELECT CAST(event_id AS DOUBLE) AS event_id, CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS k FROM events
+           UNION ALL
+           SELECT CASE WHEN event_id % 10 NOT IN (0, 2, 3) THEN CAST(event_id AS DOUBLE) END AS event_id,
+                  CASE WHEN event_id % 10 > 3 THEN CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) END AS k
+           FROM events""",
     ),
     "rejects_events": Query(rejects_events, "SELECT event_id FROM events WHERE event_id % 10 < 4"),
     "quality_counts_messages": Query(
